@@ -4,13 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm import mixing
 from quire.llm.bpe import round_trip
 from quire.llm.common import table
+from quire.llm.fingerprints import fingerprints
+from quire.llm.jaccard_join import jaccard_components
+from quire.llm.licenses import scan
+from quire.llm.quality_classifier import classify
+from quire.llm.quality_rules import apply_rules
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_bpe": op2_bpe}
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(*mixing.mix(table(spark, sf_dir, "documents")))
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return apply_rules(table(spark, sf_dir, "documents"), trusted)
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_mixing, op5_fingerprints, op6_quality_rules, op7_quality_classifier, op8_licenses, op10_ngram_join)}
 ORACLES: dict[str, str] = {}
