@@ -12,6 +12,11 @@ from quire.llm.jaccard_join import jaccard_components
 from quire.llm.licenses import scan
 from quire.llm.quality_classifier import classify
 from quire.llm.quality_rules import apply_rules
+from quire.llm.suffix_dedup import deduplicate
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicate(table(spark, sf_dir, "documents"))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,5 +48,5 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_mixing, op5_fingerprints, op6_quality_rules, op7_quality_classifier, op8_licenses, op10_ngram_join)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_bpe, op3_mixing, op5_fingerprints, op6_quality_rules, op7_quality_classifier, op8_licenses, op10_ngram_join)}
 ORACLES: dict[str, str] = {}
