@@ -16,7 +16,7 @@ from quire.llm.common import batch_of, small_batches, steps, utf8
 from quire.llm.stats import Words
 
 #: Buckets of the multinomials (a power of two), what is added to each count, and the least mean log ratio of a kept text.
-BUCKETS, ADDED, LEAST = 1 << 16, 1.0, -0.12
+BUCKETS, ADDED, LEAST = 1 << 16, 1.0, -0.22
 #: Rows that carry one task's counts; each is summed on its own.
 SLICES = 64
 

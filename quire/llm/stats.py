@@ -68,11 +68,10 @@ class Words:
         full = self.at[:-1] < self.at[1:]
         begins = np.unique(np.concatenate((self.at[:-1][full], breaks + 1)))
         begins = begins[begins < len(self.data)]
-        stops = np.unique(np.concatenate((self.at[1:][full], breaks)))
-        ends = stops[np.searchsorted(stops, begins, "left")] if len(begins) else begins
+        doc = np.searchsorted(self.at, begins, "right") - 1
+        ends = np.minimum(np.append(breaks, len(self.data))[np.searchsorted(breaks, begins)], self.at[1:][doc])
         held = np.searchsorted(self.starts, ends) > np.searchsorted(self.starts, begins)
-        begins, ends = begins[held], ends[held]
-        return begins, ends, np.searchsorted(self.at, begins, "right") - 1
+        return begins[held], ends[held], doc[held]
 
     def n_lines_and_dup_lines(self) -> tuple[np.ndarray, np.ndarray]:
         begins, ends, doc = self.lines()
