@@ -4,12 +4,8 @@
 2. N-grams are ordered by how full their bucket of a fixed-size count over the whole corpus is, rare ones first. Two
    classes that may reach the threshold share one of their first (1 - threshold) * size + 1 n-grams in that order, so only
    those move; an n-gram that many documents share stands last and is hardly ever among them.
-3. Candidates are verified by vertical partitioning: the global order of n-grams (their hash) is cut into fragments, each
-   fragment of a group of candidates counts its part of the overlaps on its own, and the parts are summed per pair. A
-   group with more n-grams is cut into more fragments, so no task holds more than a fixed number of them, about.
-4. For components, candidates come in two rounds: some neighbours in the groups, a number linear in the rows; then every
-   candidate pair that the first round's links have not yet put into one component. The second round is complete, so
-   components are exact, and a large group of near copies never becomes all its pairs.
+3. Pairs that meet often enough in their prefixes to reach the threshold are verified by vertical partitioning: the global
+   order is cut into fragments, fragments count partial overlaps separately, and the parts are summed per pair (links).
 """
 
 from __future__ import annotations
@@ -20,14 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from quire.llm.common import batch_of, hashed, lower_ascii, mixed, partitions, settle, small_batches, steps, utf8, word_array, words
-from quire.llm.graph import components
+from quire.llm.common import batch_of, hashed, lower_ascii, mixed, settle, small_batches, steps, utf8, word_array, words
+from quire.llm.links import all_links, grouped, linked
 from quire.llm.stats import windows
 
-#: Buckets of the corpus count, rows that carry one task's counts, and n-grams that a fragment of a group holds, about.
-BUCKETS, SLICES, FRAGMENT = 1 << 20, 64, 500_000
+#: Buckets of the corpus count, and rows that carry one task's counts.
+BUCKETS, SLICES = 1 << 20, 64
 
 
 def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +62,7 @@ class Join:
     """The classes of docs and their links at a threshold; see the module for the method.
 
     Rows with a null id are left out here. Texts without words have an empty set and link with nothing, not even with
-    each other. Rows that repeat are of one class.
+    each other. Rows that repeat are of one class; ids are taken to be of one text each.
     """
 
     def __init__(self, docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = 3, threshold: float = 0.9):
@@ -129,17 +124,13 @@ class Join:
                 which = doc[kept]
                 yield batch_of("h long, key long, n int", h=found[order][kept].view(np.int64), key=keys[which], n=size[which])
 
-        at = W.partitionBy("h").orderBy("key")
         rows = self.docs.select("text").mapInArrow(prefixes, "h long, key long, n int")
-        rows = rows.withColumn("before", F.lag("key").over(at)).withColumn("after", F.lead("key").over(at)).withColumn("least", F.first("key").over(at))
-        # Copies of a class from several tasks stand together: the first stays, if another class stands with it.
-        rows = rows.where("(before is null or before <> key) and (least <> key or after is not null)")
-        rows = rows.withColumn("others", F.lead("key").over(at)).where("least <> key or others is not null").select("h", "key", "n")
-        return rows.join(self.classes, ["key", "n"]).select("h", F.col("rep").alias("id"), "n")
+        rows = grouped(rows.select("h", F.col("key").alias("id"), "n"))
+        return rows.withColumnRenamed("id", "key").join(self.classes, ["key", "n"]).select("h", F.col("rep").alias("id"), "n", "g")
 
-    def sets(self) -> DataFrame:
-        """(id, found): the n-gram hashes of the classes that have a candidate."""
-        width, wanted = self.width, self.shared.select(F.col("id").alias("wanted")).distinct()
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """(id, found): the n-gram hashes of these classes."""
+        width = self.width
 
         def collect(batches):
             for batch in steps(batches):
@@ -147,81 +138,15 @@ class Join:
                 yield batch_of("id long, found binary", id=batch.column("id"), found=[found[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
 
         rows = self.docs.join(wanted.hint("shuffle_hash"), F.col("id") == F.col("wanted"), "left_semi").mapInArrow(collect, "id long, found binary")
-        # Ids may repeat with other texts: the class's set is the one with its key.
-        keyed = rows.join(self.classes.select(F.col("rep").alias("id"), F.col("n").alias("size")), "id").where(F.length("found") == F.col("size") * 8)
-        return keyed.select("id", "found")
-
-    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The pairs (a, b, na, nb) that reach the threshold, with their overlap."""
-        pairs = settle(pairs)
-        groups = components(pairs)
-        sized = sets.join(groups, "id").withColumn("size", F.length("found") / 8)
-        buckets = partitions(self.spark) * 4
-        bucket = F.pmod(F.xxhash64("label"), F.lit(buckets)).cast("int")
-        sized = settle(sized.withColumn("bucket", bucket).select("bucket", "id", "found", "size"))
-        cuts = settle(sized.groupBy("bucket").agg(F.greatest(F.lit(2), F.ceil(F.sum("size") / FRAGMENT)).cast("int").alias("cuts")))
-
-        def cut(batches):
-            for batch in batches:
-                bucket, ids, found, cuts = ([x.as_py() for x in batch.column(c)] for c in ("bucket", "id", "found", "cuts"))
-                out = {"bucket": [], "fragment": [], "id": [], "found": []}
-                for b, i, f, k in zip(bucket, ids, found, cuts, strict=True):
-                    values = np.frombuffer(f, np.uint64)
-                    edges = np.searchsorted(values >> np.uint64(32), (np.arange(k + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(k))
-                    for j in range(k):
-                        if edges[j] < edges[j + 1]:
-                            for c, v in zip(out, (b, j, i, values[edges[j] : edges[j + 1]].tobytes()), strict=True):
-                                out[c].append(v)
-                yield batch_of("bucket int, fragment int, id long, found binary", **out)
-
-        segments = sized.join(cuts, "bucket").select("bucket", "id", "found", "cuts").mapInArrow(cut, "bucket int, fragment int, id long, found binary")
-        dealt = pairs.join(groups.withColumnRenamed("id", "a"), "a").withColumn("bucket", bucket).join(cuts, "bucket")
-        dealt = dealt.select("bucket", F.explode(F.expr("sequence(0, cuts - 1)")).alias("fragment"), "a", "b")
-
-        def count(left: pa.Table, right: pa.Table) -> pa.Table:
-            segment = dict(zip(left.column("id").to_pylist(), (np.frombuffer(x, np.uint64) for x in left.column("found").to_pylist()), strict=True))
-            a, b, part = [], [], []
-            for x, y in zip(right.column("a").to_pylist(), right.column("b").to_pylist(), strict=True):
-                if (u := segment.get(x)) is not None and (v := segment.get(y)) is not None:
-                    if len(u) > len(v):
-                        u, v = v, u
-                    at = np.searchsorted(v, u)
-                    at[at == len(v)] = 0
-                    if hits := int((v[at] == u).sum()):
-                        a.append(x), b.append(y), part.append(hits)
-            return pa.Table.from_batches([batch_of("a long, b long, part long", a=a, b=b, part=part)])
-
-        parts = segments.groupBy("bucket", "fragment").cogroup(dealt.groupBy("bucket", "fragment")).applyInArrow(count, "a long, b long, part long")
-        total = parts.groupBy("a", "b").agg(F.sum("part").alias("overlap")).join(pairs, ["a", "b"])
-        p, q = self.share.numerator, self.share.denominator
-        return total.where(F.col("overlap") * q >= (F.col("na") + F.col("nb") - F.col("overlap")) * p).select("a", "b", "na", "nb", "overlap")
-
-    def _near_enough(self, pairs: DataFrame) -> DataFrame:
-        p, q = self.share.numerator, self.share.denominator
-        return pairs.where(F.least("na", "nb") * q >= F.greatest("na", "nb") * p)
-
-    def _pairs(self, rows: DataFrame, apart: str) -> DataFrame:
-        other = rows.select(*[F.col(c).alias(f"{c}_") for c in rows.columns])
-        met = rows.join(other, (F.col("h") == F.col("h_")) & F.expr(apart))
-        return self._near_enough(met.select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b"), F.when(F.col("id") < F.col("id_"), F.col("n")).otherwise(F.col("n_")).alias("na"), F.when(F.col("id") < F.col("id_"), F.col("n_")).otherwise(F.col("n")).alias("nb"))).distinct()
+        return rows
 
     def all_links(self) -> DataFrame:
         """(a, b, na, nb, overlap): every pair of classes that reaches the threshold, by their least ids."""
-        return self._verified(self._pairs(self.shared, "id < id_"), settle(self.sets()))
+        return all_links(self.shared, self.sets, self.share, prefixes=True)
 
     def labels(self) -> DataFrame:
         """(id, label): the component of each class that has a link."""
-        sets = settle(self.sets())
-        at = W.partitionBy("h").orderBy(F.xxhash64("h", "id"))
-        some = self.shared.where("pmod(h, 8) = 0").withColumn("id_", F.lead("id").over(at)).withColumn("n_", F.lead("n").over(at)).where("id_ is not null")
-        some = self._near_enough(some.select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b"), F.when(F.col("id") < F.col("id_"), F.col("n")).otherwise(F.col("n_")).alias("na"), F.when(F.col("id") < F.col("id_"), F.col("n_")).otherwise(F.col("n")).alias("nb"))).distinct()
-        some = settle(some)
-        links = settle(self._verified(some, sets).select("a", "b"))
-        near = components(links)
-        rows = self.shared.join(near, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        parted = rows.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("h")
-        rest = self._pairs(settle(rows.join(parted, "h")), "label < label_").join(some.select("a", "b"), ["a", "b"], "left_anti")
-        return components(links.union(self._verified(rest, sets).select("a", "b")))
+        return linked(self.shared, self.sets, self.share, prefixes=True)
 
     def members(self) -> DataFrame:
         """(id, n_shingles, component_id) of every row: the least id that links reach."""
