@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from quire.llm.common import batch_of, hashed, lower_ascii, mixed, settle, small_batches, steps, utf8, word_array, words
 from quire.llm.links import all_links, grouped, linked
@@ -160,3 +161,12 @@ def jaccard_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text
     n_shingles. Empty tables give no rows."""
     found = Join(docs, id=id, text=text, width=width, threshold=threshold).members().withColumnRenamed("id", "doc_id")
     return found.unionByName(docs.where(F.col(id).isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = 3, threshold: float = 0.9) -> DataFrame:
+    """docs with one document of each component, that of the least id, with all its columns. Rows that repeat an id are
+    one document, of which the row with the least text hash stays; rows with a null id stay."""
+    found = jaccard_components(docs, id=id, text=text, width=width, threshold=threshold).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = docs.join(found.hint("shuffle_hash"), F.col(id) == F.col("__kept"), "left_semi")
+    kept = kept.withColumn("__row", F.row_number().over(W.partitionBy(id).orderBy(F.xxhash64(text)))).where("__row = 1").drop("__row")
+    return kept.union(docs.where(F.col(id).isNull()))

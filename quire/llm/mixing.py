@@ -143,8 +143,9 @@ def taken(documents: DataFrame, pieces: DataFrame) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.when(F.col("size") > 0, F.coalesce("got", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("taken"))
 
 
-def mixed_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
-    """docs with each row once for each pass that takes words of it; a text of which a pass takes a part keeps those words.
+def mixed_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source", chars: str = "n_chars", **how) -> DataFrame:
+    """docs with each row once for each pass that takes words of it; a text of which a pass takes a part keeps those words,
+    and its column `chars`, where there is one, is counted anew.
 
     Rows of one id are told apart by their number of words; rows alike in both are alike for the mix too.
     """
@@ -157,6 +158,8 @@ def mixed_texts(docs: DataFrame, *, id: str = "doc_id", text: str = "text", sour
     tagged = tagged.join(sources, F.col(source).eqNullSafe(F.col("__source")))
     tagged = tagged.withColumn("__copy", F.row_number().over(W.partitionBy(id, "__rank", "__size").orderBy(F.xxhash64(text))))
     on = reduce(lambda a, b: a & b, [F.col(id).eqNullSafe(per["id"]), F.col("__rank") == per["rank"], F.col("__size") == per["size"], F.col("__copy") == per["copy"]])
-    rows = tagged.join(per.withColumnsRenamed({"size": "size", "n": "__n", "low": "__low"}), on)
+    rows = tagged.join(per.withColumnsRenamed({"n": "__n", "low": "__low"}), on)
     part = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), (F.col("__low") + 1).cast("int"), F.col("__n").cast("int")), " ")
-    return rows.select(*[F.when(F.col("__n") < F.col("__size"), part).otherwise(F.col(text)).alias(text) if c == text else tagged[c] for c in names])
+    said = F.when(F.col("__n") < F.col("__size"), part).otherwise(F.col(text))
+    counted = F.when(F.col("__n") < F.col("__size"), F.char_length(said).cast("long")).otherwise(F.col(chars)) if chars in names else None
+    return rows.select(*[said.alias(text) if c == text else counted.alias(c) if c == chars else tagged[c] for c in names])

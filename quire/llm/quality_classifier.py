@@ -140,3 +140,14 @@ def classify(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: st
             yield batch_of(fields, **{id: rows.column(id), "held_out": rows.column("fold").to_numpy() == 2, "score": score, "predicted": (score >= CUT).astype(int)})
 
     return measured.mapInArrow(judge, fields)
+
+
+def accepted(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
+    """The rows of docs for which label 1 is predicted, with all their columns; texts stay where they are."""
+    model = fit(settle(statistics(docs, id, text)), labels, id, label)
+
+    def keep(batches):
+        for batch in steps(batches, text):
+            yield batch.filter(pa.array(model.score(Words(*utf8(batch.column(text))).features()) >= CUT))
+
+    return docs.mapInArrow(keep, docs.schema)

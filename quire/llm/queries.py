@@ -10,8 +10,10 @@ from quire.llm.common import table
 from quire.llm.fingerprints import fingerprints
 from quire.llm.jaccard_join import jaccard_components
 from quire.llm.licenses import scan
+from quire.llm.lm_scores import score_documents
 from quire.llm.quality_classifier import classify
 from quire.llm.quality_rules import apply_rules
+from quire.llm.substring_dedup import deduplicate as drop_passages
 from quire.llm.suffix_dedup import deduplicate
 
 
@@ -27,6 +29,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(*mixing.mix(table(spark, sf_dir, "documents")))
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
@@ -44,9 +50,13 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_bpe, op3_mixing, op5_fingerprints, op6_quality_rules, op7_quality_classifier, op8_licenses, op10_ngram_join)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_bpe, op3_mixing, op4_lm_scores, op5_fingerprints, op6_quality_rules, op7_quality_classifier, op8_licenses, op9_substring_dedup, op10_ngram_join)}
 ORACLES: dict[str, str] = {}
