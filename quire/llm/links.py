@@ -4,9 +4,10 @@ Verification is by vertical partitioning: the global order of elements (their ha
 a bucket of candidates counts its part of the overlaps on its own, and the parts are summed per pair. A bucket with more
 elements is cut into more fragments, so no task holds more than a fixed number of them, about.
 
-Groups of up to LIMIT sets give all their pairs. A larger one gives each member's neighbour in a hashed order first, then,
-when those links are known, every pair that they have not yet put into one component: components are exact, and a large
-group of near copies never becomes all its pairs.
+Groups of up to LIMIT sets give all their pairs. Sets that meet in larger ones are gathered into crowds, a crowd is cut by
+size into blocks, and each two blocks whose sizes allow a link are compared in one task, fragment after fragment, in a
+matrix of overlaps. Such a task gives each set one link to its component in the two blocks, so a large group of near copies
+makes rows in proportion to its members and not to their pairs, and components stay exact.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from pyspark.sql.window import Window as W
 from quire.llm.common import batch_of, partitions, settle
 from quire.llm.graph import components
 
-#: Members of a group that gives all its pairs; elements that a fragment of a bucket holds, about.
-LIMIT, FRAGMENT = 256, 500_000
+#: Members of a group that gives all its pairs; elements that a fragment of a bucket holds, about; sets of a crowd's block,
+#: and elements that its matrices have at once.
+LIMIT, FRAGMENT, BLOCK, COLUMNS = 48, 500_000, 512, 4096
 
 
 def close_in_size(pairs: DataFrame, share: Fraction) -> DataFrame:
@@ -53,26 +55,19 @@ def grouped(rows: DataFrame) -> DataFrame:
 
 
 def candidates(shared: DataFrame, share: Fraction, limit: int, prefixes: bool) -> DataFrame:
-    """(a, b, na, nb): the pairs of small groups, and neighbours of large ones.
+    """(a, b, na, nb): the pairs of the groups of up to `limit` sets.
 
     prefixes: groups are the elements of the sets' prefixes for this threshold. A pair's overlap is then at most the
-    elements that meet here and what stands behind the prefix of the set whose prefix ends first; pairs that cannot
-    reach the threshold by that are left out. Elements of large groups count as if they met.
+    elements that meet and what stands behind the prefix of the set whose prefix ends first; pairs that cannot reach the
+    threshold by that are left out. (Pairs that meet in larger groups too are of one crowd, and compared there.)
     """
-    small = shared.where(F.col("g") <= limit).select("h", "id", "n")
-    pairs = _met(small, "id < id_", share).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
-    large = settle(shared.where(F.col("g") > limit).select("h", "id", "n"))
+    pairs = _met(shared.where(F.col("g") <= limit).select("h", "id", "n"), "id < id_", share).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
     if prefixes:
         p, q = share.numerator, share.denominator
-        many = large.groupBy("id").agg(F.count("*").alias("m"))
-        pairs = pairs.join(many.select(F.col("id").alias("a"), F.col("m").alias("ma")), "a", "left").join(many.select(F.col("id").alias("b"), F.col("m").alias("mb")), "b", "left")
-        met = F.col("c") + F.least(F.coalesce("ma", F.lit(0)), F.coalesce("mb", F.lit(0)))
         whole = F.expr(f"(({p}L * (na + nb)) + {p + q - 1}L) div {p + q}L")  # the least overlap that reaches the threshold
         behind = F.expr(f"({p}L * greatest(na, nb) + {q - 1}L) div {q}L - 1")
-        pairs = pairs.where(met + behind >= whole)
-    at = W.partitionBy("h").orderBy(F.xxhash64("h", "id"))
-    chain = large.withColumn("id_", F.lead("id").over(at)).withColumn("n_", F.lead("n").over(at)).where("id_ is not null")
-    return pairs.select("a", "b", "na", "nb").union(_ordered(chain, share)).distinct()
+        pairs = pairs.where(F.col("c") + behind >= whole)
+    return pairs.select("a", "b", "na", "nb")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
@@ -128,6 +123,69 @@ def _ids(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("wanted")).union(pairs.select("b")).distinct()
 
 
+def near(sets: list[np.ndarray], others: list[np.ndarray], share: Fraction) -> np.ndarray:
+    """Which of the sets reach the threshold with which of the others; overlaps are summed over fragments of the elements."""
+    sizes, other_sizes = np.array([len(x) for x in sets]), np.array([len(x) for x in others])
+    values, codes = np.unique(np.concatenate([*sets, *others]), return_inverse=True)
+    times = np.bincount(codes, minlength=len(values))
+    column = np.full(len(values), -1)
+    column[times > 1] = np.arange(int((times > 1).sum()))
+    row = np.repeat(np.arange(len(sets) + len(others)), np.concatenate((sizes, other_sizes)))
+    column = column[codes]
+    overlap = np.zeros((len(sets), len(others)), np.float32)
+    order = np.argsort(column, kind="stable")
+    order = order[np.searchsorted(column[order], 0) :]
+    edges = np.searchsorted(column[order], np.arange(0, int(column.max(initial=-1)) + 1 + COLUMNS, COLUMNS))
+    for k, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
+        fragment = np.zeros((len(sets) + len(others), COLUMNS), np.float32)
+        fragment[row[order[a:b]], column[order[a:b]] - k * COLUMNS] = 1
+        overlap += fragment[: len(sets)] @ fragment[len(sets) :].T
+    both = overlap.astype(np.int64)
+    return both * share.denominator >= (sizes[:, None] + other_sizes[None, :] - both) * share.numerator
+
+
+def joined(ids: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """The least id of each place's component, for links between places."""
+    label = ids.copy()
+    while True:
+        new = label.copy()
+        np.minimum.at(new, rows, label[columns])
+        np.minimum.at(new, columns, label[rows])
+        if (new == label).all():
+            return label
+        label = new
+
+
+def crowds(large: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
+    """(a, b): links that join the components of all sets that meet in groups of `large` (h, id, n), and only those."""
+    p, q = share.numerator, share.denominator
+    at = W.partitionBy("h").orderBy("id")
+    chain = large.withColumn("a", F.lead("id").over(at)).where("a is not null").select("a", F.col("id").alias("b"))
+    members = components(chain)
+    sized = sets.join(members, "id").withColumn("n", (F.length("found") / 8).cast("long"))
+    place = F.row_number().over(W.partitionBy("label").orderBy("n", "id")) - 1
+    blocked = settle(sized.select("label", "id", "n", F.floor(place / BLOCK).cast("int").alias("block"), "found"))
+    spans = blocked.groupBy("label", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    later = spans.select(F.col("label").alias("label_"), F.col("block").alias("j"), F.col("low").alias("low_"))
+    met = spans.join(later, (F.col("label") == F.col("label_")) & (F.col("block") <= F.col("j")) & (F.col("high") * q >= F.col("low_") * p))
+    met = settle(met.select("label", F.col("block").alias("i"), "j"))
+    sides = met.select("label", "i", "j", F.col("i").alias("block")).union(met.select("label", "i", "j", F.col("j").alias("block"))).distinct()
+    dealt = blocked.join(sides, ["label", "block"])
+
+    def compare(rows: pa.Table) -> pa.Table:
+        i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+        block = rows.column("block").to_numpy()
+        ids = rows.column("id").to_numpy()
+        found = [np.frombuffer(x, np.uint64) for x in rows.column("found").to_pylist()]
+        one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        a, b = np.nonzero(near([found[k] for k in one], [found[k] for k in two], share))
+        label = joined(ids, one[a], two[b])
+        moved = label != ids
+        return pa.Table.from_batches([batch_of("a long, b long", a=label[moved], b=ids[moved])])
+
+    return dealt.groupBy("label", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def linked(shared: DataFrame, sets: Callable[[DataFrame], DataFrame], share: Fraction, *, prefixes: bool, limit: int = LIMIT) -> DataFrame:
     """(id, label): the component of every set that has a link. shared: as grouped() gives; sets: from the ids wanted."""
     pairs = settle(candidates(shared, share, limit, prefixes))
@@ -136,10 +194,4 @@ def linked(shared: DataFrame, sets: Callable[[DataFrame], DataFrame], share: Fra
     wanted = _ids(pairs).union(large.select("id")).distinct() if again else _ids(pairs)
     found = settle(sets(wanted))
     links = verified(pairs, found, share).select("a", "b")
-    if not again:
-        return components(links)
-    links = settle(links)
-    rows = large.join(components(links), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    parted = rows.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("h")
-    rest = settle(_met(settle(rows.join(parted, "h")), "label < label_", share).distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
-    return components(links.union(verified(rest, found, share).select("a", "b")))
+    return components(links.union(crowds(large, found, share)) if again else links)
