@@ -15,6 +15,8 @@ files. Texts move packed.
 from __future__ import annotations
 
 import hashlib
+import os
+import tempfile
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,7 +28,9 @@ from quire.llm.common import _BYTE, _STEP, _powers, batch_of, mixed, partitions,
 from quire.llm.suffix_sort import MEMORY, Shard
 
 #: Bytes of a window, of the grams that deal windows out, and of a shard, about.
-LENGTH, GRAM, SHARD = 400, 32, 4 << 20
+LENGTH, GRAM, SHARD = 400, 32, 2 << 20
+#: Distances from the gram that have one core, and bytes of texts that a shard holds before it turns to files.
+NEAR, HELD = 32, 16 << 20
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
 _INVERSE = np.ones(1, np.uint64)
 
@@ -41,11 +45,11 @@ def _inverses(n: int) -> np.ndarray:
 
 
 def fragments(data: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(document, begin in it, bytes, gram hash, entry hash) of the fragments of a step's texts."""
+    """(document, begin in it, bytes, gram hash, entry hash, place of the gram in it) of the fragments of a step's texts."""
     n, wide = len(data), length - gram + 1
     empty = np.zeros(0, np.int64)
     if n < length:
-        return empty, empty, empty, empty, empty
+        return empty, empty, empty, empty, empty, empty
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _powers(n)[:n], dtype=np.uint64)))
     back = _inverses(n + 1)
     grams = mixed((sums[gram:] - sums[:-gram]) * back[: n - gram + 1])
@@ -67,7 +71,7 @@ def fragments(data: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int
     end = np.flatnonzero(ends) + length
     anchor = grams[least[begin]]
     entry = mixed((sums[end] - sums[begin]) * back[begin] + mixed(anchor) + (end - begin).astype(np.uint64))
-    return doc[begin], begin - at[doc[begin]], end - begin, anchor.view(np.int64), entry.view(np.int64)
+    return doc[begin], begin - at[doc[begin]], end - begin, anchor.view(np.int64), entry.view(np.int64), least[begin] - begin
 
 
 def merged(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,6 +90,86 @@ def runs(marks: np.ndarray) -> np.ndarray:
     return edges.astype(np.int32)
 
 
+class Fragments:
+    """The entries of a shard: their cores' hashes in memory, their bytes in memory up to a bound and in a file beyond."""
+
+    def __init__(self, length: int, memory: int):
+        self.length, self.memory, self.core = length, memory, length - NEAR + 1
+        self.entries, self.weights, self.places, self.anchors, self.keys, self.owners, self.blocks = [], [], [], [], [], [], []
+        self.held, self.file, self.size = [], None, 0
+
+    def add(self, rows) -> None:
+        data, at = utf8(rows.column("body"))
+        begin, size = at[:-1], np.diff(at)
+        anchor, gram = rows.column("anchor").to_numpy().astype(np.int64), rows.column("gram").to_numpy().view(np.uint64)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _powers(len(data))[: len(data)], dtype=np.uint64)))
+        back = _inverses(len(data) + 1)
+        nearest = anchor - (size - self.length)  # the least distance of a window from its gram
+        first = sum(map(len, self.weights))
+        for block in range((self.length - GRAM) // NEAR + 1):
+            own = np.flatnonzero((nearest <= block * NEAR + NEAR - 1) & (anchor >= block * NEAR))
+            a = begin[own] + anchor[own] - block * NEAR
+            self.keys.append(mixed((sums[a + self.core] - sums[a]) * back[a] + mixed(gram[own] + np.uint64(block))))
+            self.owners.append(first + own)
+            self.blocks.append(np.full(len(own), block))
+        self.entries.append(rows.column("entry").to_numpy())
+        self.weights.append(rows.column("n").to_numpy())
+        self.anchors.append(anchor)
+        self.places.append(self.size + at)
+        body = data.tobytes()
+        self.size += len(body)
+        if self.size > HELD and self.file is None:
+            self.file = tempfile.TemporaryFile()
+            for x in self.held:
+                self.file.write(x)
+            self.held = []
+        if self.file is None:
+            self.held.append(body)
+        else:
+            self.file.write(body)
+
+    def verdicts(self) -> dict:
+        """entry and found: the runs of windows that repeat, for each entry that has one."""
+        weights, anchors = np.concatenate(self.weights), np.concatenate(self.anchors)
+        begins, ends = np.concatenate([p[:-1] for p in self.places]), np.concatenate([p[1:] for p in self.places])
+        windows = np.maximum(ends - begins - self.length + 1, 0)
+        keys, owners, blocks = np.concatenate(self.keys), np.concatenate(self.owners), np.concatenate(self.blocks)
+        order = np.argsort(keys, kind="stable")
+        equal = np.concatenate(([False], keys[order][1:] == keys[order][:-1], [False]))
+        met = order[equal[1:] | equal[:-1]]
+        owners, blocks = owners[met], blocks[met]
+        low = np.maximum(0, anchors[owners] - blocks * NEAR - NEAR + 1)
+        high = np.minimum(windows[owners] - 1, anchors[owners] - blocks * NEAR)
+        order = np.lexsort((low, owners))
+        owners, low, high = owners[order], low[order], high[order]
+        new = np.concatenate((np.ones(min(1, len(low)), bool), (owners[1:] != owners[:-1]) | (low[1:] > high[:-1] + 1)))
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(new))[: len(first)] - 1
+        owners, low, high = owners[first], low[first], high[last]
+        if self.file is None:
+            data = b"".join(self.held)
+            read = lambda a, b: data[a:b]
+        else:
+            self.file.flush()
+            read = lambda a, b: os.pread(self.file.fileno(), b - a, a)
+        found: dict[int, list] = {}
+        shard = Shard(self.memory)
+        try:
+            for o, a, b in zip(owners.tolist(), low.tolist(), high.tolist(), strict=True):
+                shard.add(read(int(begins[o]) + a, int(begins[o]) + b + self.length))
+            for o, a, marks in zip(owners.tolist(), low.tolist(), shard.repeats(self.length) if len(owners) else [], strict=True):
+                if weights[o] < 2 and len(r := runs(marks)):
+                    found.setdefault(o, []).append(r + np.int32(a))
+        finally:
+            shard.close()
+            if self.file is not None:
+                self.file.close()
+        for o in np.flatnonzero((weights > 1) & (windows > 0)).tolist():
+            found[o] = [np.array([0, windows[o]], np.int32)]
+        entries = np.concatenate(self.entries)
+        return {"entry": [int(entries[o]) for o in found], "found": [np.concatenate(r).tobytes() for r in found.values()]}
+
+
 def _packed_texts(rows: DataFrame) -> DataFrame:
     def pack(batches):
         for batch in steps(batches):
@@ -102,38 +186,38 @@ def removed_spans(rows: DataFrame, length: int, memory: int) -> DataFrame:
     rows: id, row (a number of its own for each text), text.
     """
     spark = rows.sparkSession
-    ddl = "row long, gram long, entry long, bytes int, n int, begins binary"
+    ddl = "row long, gram long, entry long, bytes int, anchor int, n int, begins binary"
 
     def deal(batches):
         for batch in steps(batches):
-            doc, begin, size, anchor, entry = fragments(*utf8(batch.column("text")), length)
+            doc, begin, size, gram, entry, anchor = fragments(*utf8(batch.column("text")), length)
             if not len(doc):
                 continue
             order = np.lexsort((begin, entry, doc))  # a text's equal fragments are one row
-            doc, begin, size, anchor, entry = doc[order], begin[order], size[order], anchor[order], entry[order]
+            doc, begin, size, gram, entry, anchor = (x[order] for x in (doc, begin, size, gram, entry, anchor))
             first = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (entry[1:] != entry[:-1]))))
             last = np.append(first[1:], len(doc))
             own = batch.column("row").to_numpy(zero_copy_only=False)[doc[first]]
             small = begin.astype("<i4").tobytes()
-            yield batch_of(ddl, row=own, gram=anchor[first], entry=entry[first], bytes=size[first], n=last - first, begins=[small[4 * a : 4 * b] for a, b in zip(first.tolist(), last.tolist(), strict=True)])
+            yield batch_of(ddl, row=own, gram=gram[first], entry=entry[first], bytes=size[first], anchor=anchor[first], n=last - first, begins=[small[4 * a : 4 * b] for a, b in zip(first.tolist(), last.tolist(), strict=True)])
 
     places = settle(rows.select("row", "text").mapInArrow(deal, ddl))
-    entries = places.groupBy("gram", "entry", "bytes").agg(F.sum("n").alias("n"), F.min("row").alias("row"), F.min_by("begins", "row").alias("begins"))
+    entries = places.groupBy("gram", "entry", "bytes", "anchor").agg(F.sum("n").alias("n"), F.min("row").alias("row"), F.min_by("begins", "row").alias("begins"))
     by_gram = W.partitionBy("gram")
     wanted = settle(entries.withColumn("all", F.sum("n").over(by_gram)).where("all > 1").drop("all"))
     shards = max(1, int((wanted.agg(F.sum("bytes")).first()[0] or 0) / SHARD) + 1)
-    asked = wanted.groupBy("row").agg(F.collect_list(F.struct("gram", "entry", "bytes", "n", "begins")).alias("asked"))
+    asked = wanted.groupBy("row").agg(F.collect_list(F.struct("gram", "entry", "bytes", "anchor", "n", "begins")).alias("asked"))
     texts = _packed_texts(rows.select("id", "row", "text")).drop("id")
-    cut_ddl = "shard int, gram long, entry long, n long, body binary"
+    cut_ddl = "shard int, gram long, entry long, anchor int, n long, body binary"
 
     def cut(batches):
         for batch in batches:
-            out = {"shard": [], "gram": [], "entry": [], "n": [], "body": []}
+            out = {"shard": [], "gram": [], "entry": [], "anchor": [], "n": [], "body": []}
             for body, want in zip(batch.column("body").to_pylist(), batch.column("asked").to_pylist(), strict=True):
                 text = unpacked(body)
                 for x in want:
                     begin = int(np.frombuffer(x["begins"], "<i4")[0])
-                    for c, v in zip(out, (x["gram"] % shards, x["gram"], x["entry"], x["n"], text[begin : begin + x["bytes"]]), strict=True):
+                    for c, v in zip(out, (x["gram"] % shards, x["gram"], x["entry"], x["anchor"], x["n"], text[begin : begin + x["bytes"]]), strict=True):
                         out[c].append(v)
             yield batch_of(cut_ddl, **out)
 
@@ -142,27 +226,22 @@ def removed_spans(rows: DataFrame, length: int, memory: int) -> DataFrame:
     verdict_ddl = "entry long, found binary"
 
     def judge(batches):  # the rows of a shard follow each other
-        current, shard, entries, weights = None, None, [], []
-
-        def verdict():
-            marks = shard.repeats(length)
-            shard.close()
-            found = [(e, runs(np.ones(len(m), bool) if n > 1 else m).tobytes()) for m, e, n in zip(marks, entries, weights, strict=True) if n > 1 or m.any()]
-            return batch_of(verdict_ddl, entry=[e for e, _ in found], found=[f for _, f in found])
-
+        current, shard = None, None
         for batch in batches:
-            for number, entry, n, body in zip(*[batch.column(c).to_pylist() for c in ("shard", "entry", "n", "body")], strict=True):
-                if number != current:
+            numbers = batch.column("shard").to_numpy()
+            edges = np.concatenate(([0], np.flatnonzero(np.diff(numbers)) + 1, [len(numbers)])).tolist()
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if a == b:
+                    continue
+                if numbers[a] != current:
                     if shard is not None:
-                        yield verdict()
-                    current, shard, entries, weights = number, Shard(memory), [], []
-                shard.add(body)
-                entries.append(entry)
-                weights.append(n)
+                        yield batch_of(verdict_ddl, **shard.verdicts())
+                    current, shard = numbers[a], Fragments(length, memory)
+                shard.add(batch.slice(a, b - a))
         if shard is not None:
-            yield verdict()
+            yield batch_of(verdict_ddl, **shard.verdicts())
 
-    verdicts = pieces.repartition(partitions(spark), "shard").sortWithinPartitions("shard").drop("gram").mapInArrow(judge, verdict_ddl)
+    verdicts = pieces.repartition(partitions(spark), "shard").sortWithinPartitions("shard").mapInArrow(judge, verdict_ddl)
     hits = places.select("row", "entry", "begins").join(verdicts, "entry").select("row", "begins", "found")
     gathered = hits.groupBy("row").agg(F.collect_list(F.struct("begins", "found")).alias("hits"))
 

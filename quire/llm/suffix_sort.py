@@ -21,7 +21,7 @@ from collections.abc import Callable
 import numpy as np
 
 #: Bytes of arrays that one sort holds before it turns to files.
-MEMORY = 256 << 20
+MEMORY = 128 << 20
 
 
 class Scratch:
