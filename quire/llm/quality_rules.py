@@ -16,7 +16,7 @@ from quire.llm.common import batch_of, small_batches, steps, utf8
 from quire.llm.stats import Words
 
 #: Buckets of the multinomials (a power of two), what is added to each count, and the least mean log ratio of a kept text.
-BUCKETS, ADDED, LEAST = 1 << 16, 1.0, -0.22
+BUCKETS, ADDED, LEAST = 1 << 16, 10.0, -0.1
 #: Rows that carry one task's counts; each is summed on its own.
 SLICES = 64
 
@@ -49,11 +49,14 @@ def counts(docs: DataFrame, trusted: DataFrame, id: str, text: str) -> tuple[np.
 
 
 def log_ratio(good: np.ndarray, every: np.ndarray) -> np.ndarray:
-    """The logarithm of trusted over raw probability of each bucket; all zero where nothing is trusted."""
+    """The logarithm of trusted over raw probability of each bucket; all zero where nothing is trusted.
+
+    Raw counts are scaled to the trusted total before the same number is added to both, so that a bucket which is rare in
+    both says next to nothing, whether or not the trusted documents happen to hold it.
+    """
     if not good.sum():
         return np.zeros(len(good))
-    prob = lambda c: (c + ADDED) / (c.sum() + ADDED * len(c))
-    return np.log(prob(good)) - np.log(prob(every))
+    return np.log(good + ADDED) - np.log(every * (good.sum() / every.sum()) + ADDED)
 
 
 def apply_rules(docs: DataFrame, trusted: DataFrame, *, id: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
