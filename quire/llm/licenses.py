@@ -90,3 +90,14 @@ def scan(docs: DataFrame, *, id: str = "doc_id", text: str = "text", texts: tupl
     whole = F.sha2(canonical(body), 256)
     marked = docs.select(F.col(id), whole.alias("digest"), F.filter(F.transform(marks, lambda d: F.try_element_at(names, d)), lambda x: x.isNotNull()).alias("hits"))
     return marked.select(F.col(id), "digest", F.try_element_at(names, F.col("digest")).alias("license"), F.size("hits").cast("long").alias("n_notices"), F.array_join(F.array_sort(F.array_distinct("hits")), ",").alias("notices"))
+
+
+def oracle() -> str:
+    """scan() of documents in DuckDB's SQL."""
+    rows = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in KNOWN)
+    return f"""with said(license, said) as (values {rows}),
+ known as (select form, min(license) license from (select license, {canonical_sql("said")} form from said) where form <> '' group by form),
+ whole as (select doc_id, {canonical_sql("coalesce(text, '')")} form from documents),
+ lines as (select doc_id, {canonical_sql("line")} form from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) line from documents)),
+ hits as (select doc_id, count(*) n, string_agg(distinct license, ',' order by license) notices from lines join known using (form) group by doc_id)
+ select doc_id, sha256(form) digest, license, coalesce(n, 0) n_notices, coalesce(notices, '') notices from whole left join known using (form) left join hits using (doc_id)"""
