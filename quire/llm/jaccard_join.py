@@ -73,7 +73,7 @@ class Join:
         self.docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null")
         first = settle(self._first())
         self.rows = first.where("part is null").select("id", "key", "n")
-        self.classes = settle(self.rows.where("n > 0").groupBy("key", "n").agg(F.min("id").alias("rep")))
+        self.classes = settle(self.rows.where("n > 0").groupBy("key", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
         self.heaviness = self._heaviness(first)
         self.shared = settle(self._shared())
 
@@ -146,21 +146,22 @@ class Join:
         return all_links(self.shared, self.sets, self.share, prefixes=True)
 
     def labels(self) -> DataFrame:
-        """(id, label): the component of each class that has a link."""
-        return linked(self.shared, self.sets, self.share, prefixes=True)
+        """(id, label, links): the component of each class that has a link, and the documents that it is linked with."""
+        return linked(self.shared, self.sets, self.share, prefixes=True, weights=self.classes.select(F.col("rep").alias("id"), F.col("copies").alias("weight")))
 
     def members(self) -> DataFrame:
-        """(id, n_shingles, component_id) of every row: the least id that links reach."""
-        found = self.classes.join(self.labels(), F.col("rep") == F.col("id"), "left").select("key", "n", F.coalesce("label", "rep").alias("component"))
+        """(id, n_shingles, component_id, n_links) of every row: the least id that links reach, and how many rows it has a
+        link with, copies of it among them."""
+        found = self.classes.join(self.labels(), F.col("rep") == F.col("id"), "left").select("key", "n", F.coalesce("label", "rep").alias("component"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
         rows = self.rows.join(found, ["key", "n"], "left")
-        return rows.select("id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+        return rows.select("id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def jaccard_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = 3, threshold: float = 0.9) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of docs with an id; rows with a null id have a null component and
-    n_shingles. Empty tables give no rows."""
+    """doc_id, n_shingles, component_id, n_links for every row of docs with an id; rows with a null id have nulls in all
+    four. Empty tables give no rows."""
     found = Join(docs, id=id, text=text, width=width, threshold=threshold).members().withColumnRenamed("id", "doc_id")
-    return found.unionByName(docs.where(F.col(id).isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id")))
+    return found.unionByName(docs.where(F.col(id).isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(None).cast("long").alias("n_links")))
 
 
 def one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = 3, threshold: float = 0.9) -> DataFrame:

@@ -6,8 +6,8 @@ elements is cut into more fragments, so no task holds more than a fixed number o
 
 Groups of up to LIMIT sets give all their pairs. Sets that meet in larger ones are gathered into crowds, a crowd is cut by
 size into blocks, and each two blocks whose sizes allow a link are compared in one task, fragment after fragment, in a
-matrix of overlaps. Such a task gives each set one link to its component in the two blocks, so a large group of near copies
-makes rows in proportion to its members and not to their pairs, and components stay exact.
+matrix of overlaps. Such a task gives each set one link to its component in the two blocks and the number of its links, so
+a large group of near copies makes rows in proportion to its members and not to their pairs, and both stay exact.
 """
 
 from __future__ import annotations
@@ -156,15 +156,20 @@ def joined(ids: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray
         label = new
 
 
-def crowds(large: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
-    """(a, b): links that join the components of all sets that meet in groups of `large` (h, id, n), and only those."""
+def crowds(large: DataFrame, sets: DataFrame, share: Fraction, weights: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((id, crowd), (a, b, links)) of all sets that meet in groups of `large` (h, id, n).
+
+    The links (a, b) join components, one row for each set b of two blocks, a may be b itself; `links` adds up the weights
+    (id, weight) of all sets there that b is linked with.
+    """
     p, q = share.numerator, share.denominator
     at = W.partitionBy("h").orderBy("id")
     chain = large.withColumn("a", F.lead("id").over(at)).where("a is not null").select("a", F.col("id").alias("b"))
     members = components(chain)
-    sized = sets.join(members, "id").withColumn("n", (F.length("found") / 8).cast("long"))
+    members = settle(members)
+    sized = sets.join(members, "id").join(weights, "id").withColumn("n", (F.length("found") / 8).cast("long"))
     place = F.row_number().over(W.partitionBy("label").orderBy("n", "id")) - 1
-    blocked = settle(sized.select("label", "id", "n", F.floor(place / BLOCK).cast("int").alias("block"), "found"))
+    blocked = settle(sized.select("label", "id", "n", "weight", F.floor(place / BLOCK).cast("int").alias("block"), "found"))
     spans = blocked.groupBy("label", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     later = spans.select(F.col("label").alias("label_"), F.col("block").alias("j"), F.col("low").alias("low_"))
     met = spans.join(later, (F.col("label") == F.col("label_")) & (F.col("block") <= F.col("j")) & (F.col("high") * q >= F.col("low_") * p))
@@ -178,20 +183,42 @@ def crowds(large: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
         ids = rows.column("id").to_numpy()
         found = [np.frombuffer(x, np.uint64) for x in rows.column("found").to_pylist()]
         one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        a, b = np.nonzero(near([found[k] for k in one], [found[k] for k in two], share))
-        label = joined(ids, one[a], two[b])
-        moved = label != ids
-        return pa.Table.from_batches([batch_of("a long, b long", a=label[moved], b=ids[moved])])
+        weight = rows.column("weight").to_numpy()
+        met = near([found[k] for k in one], [found[k] for k in two], share)
+        if i == j:
+            np.fill_diagonal(met, False)
+        a, b = np.nonzero(met)
+        links = np.bincount(one[a], weights=weight[two[b]], minlength=len(ids))
+        if i != j:
+            links += np.bincount(two[b], weights=weight[one[a]], minlength=len(ids))
+        return pa.Table.from_batches([batch_of("a long, b long, links long", a=joined(ids, one[a], two[b]), b=ids, links=links.astype(np.int64))])
 
-    return dealt.groupBy("label", "i", "j").applyInArrow(compare, "a long, b long")
+    return members.withColumnRenamed("label", "crowd"), dealt.groupBy("label", "i", "j").applyInArrow(compare, "a long, b long, links long")
 
 
-def linked(shared: DataFrame, sets: Callable[[DataFrame], DataFrame], share: Fraction, *, prefixes: bool, limit: int = LIMIT) -> DataFrame:
-    """(id, label): the component of every set that has a link. shared: as grouped() gives; sets: from the ids wanted."""
+def linked(shared: DataFrame, sets: Callable[[DataFrame], DataFrame], share: Fraction, *, prefixes: bool, limit: int = LIMIT, weights: DataFrame | None = None) -> DataFrame:
+    """(id, label, links): the component of every set that has a link, and the weights of all sets it is linked with.
+
+    shared: as grouped() gives; sets: from the ids wanted; weights: (id, weight), 1 for each set if none are given.
+    """
     pairs = settle(candidates(shared, share, limit, prefixes))
     large = settle(shared.where(F.col("g") > limit).select("h", "id", "n"))
     again = bool(large.head(1))
     wanted = _ids(pairs).union(large.select("id")).distinct() if again else _ids(pairs)
     found = settle(sets(wanted))
-    links = verified(pairs, found, share).select("a", "b")
-    return components(links.union(crowds(large, found, share)) if again else links)
+    if weights is None:
+        weights = found.select("id", F.lit(1).cast("long").alias("weight"))
+    links = settle(verified(pairs, found, share).select("a", "b"))
+    if again:
+        members, compared = crowds(large, found, share, weights)
+        compared = settle(compared)
+        crowd = lambda c: members.select(F.col("id").alias(c), F.col("crowd").alias(f"crowd_{c}"))
+        # Pairs inside one crowd are compared there; counted here too, they would count twice.
+        links = links.join(crowd("a"), "a", "left").join(crowd("b"), "b", "left").where("crowd_a is null or crowd_b is null or crowd_a <> crowd_b").select("a", "b")
+        links = settle(links)
+    labels = components(links.union(compared.select("a", "b")) if again else links)
+    both = links.select(F.col("a").alias("id"), F.col("b").alias("other")).union(links.select("b", "a"))
+    degrees = both.join(weights.withColumnsRenamed({"id": "other", "weight": "links"}), "other").select("id", "links")
+    if again:
+        degrees = degrees.union(compared.select("b", "links"))
+    return labels.join(degrees.groupBy("id").agg(F.sum("links").alias("links")), "id")

@@ -349,7 +349,8 @@ def test_op10_components(spark, monkeypatch, limit):
     monkeypatch.setitem(links.linked.__kwdefaults__, "limit", limit)
     monkeypatch.setattr(links, "BLOCK", 32)
     got = jaccard_join.jaccard_components(frame(spark, rows)).collect()
-    assert {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in got} == {k: (of[k], len(sets[k])) for k in sets}
+    links_of = collections.Counter(k for pair in pairs for k in pair)
+    assert {r["doc_id"]: (r["component_id"], r["n_shingles"], r["n_links"]) for r in got} == {k: (of[k], len(sets[k]), links_of[k]) for k in sets}
     if limit > 100:
         first = {}
         for k in sorted(sets):
