@@ -307,6 +307,19 @@ def test_op9_removes_passages(spark):
     assert all(got[k]["text"] == docs[k] for k in docs if not got[k]["n_removed"])
 
 
+def test_op9_removes_passages_inside_sentences(spark):
+    rng = random.Random(12)
+    docs = {k: sentence(rng, 40, 5000) + ". " + sentence(rng, 25, 5000) + "." for k in range(12)}
+    passage = sentence(rng, 60, 5000)
+    for k in (2, 5, 7):
+        ws = docs[k].split(" ")
+        at = rng.randrange(5, 35)
+        docs[k] = " ".join([*ws[:at], passage, *ws[at:]])
+    got = {r["doc_id"]: r for r in substring_dedup.deduplicate(frame(spark, list(docs.items())), keep_text=True).collect()}
+    assert {k for k, r in got.items() if r["n_removed"]} == {5, 7}
+    assert all(got[k]["words_removed"] >= 25 and got[k]["kept_sha256"] == hashlib.sha256(got[k]["text"].encode()).hexdigest() for k in (5, 7))
+
+
 def test_op9_bands_reach_their_recall():
     bands, rows = substring_dedup.tuned()
     assert 1 - (1 - 0.8**rows) ** bands >= 0.995
