@@ -6,6 +6,7 @@ import atexit
 import os
 import tempfile
 import uuid
+import weakref
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -45,13 +46,25 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: Where the tables that settle() wrote are, by the frame that reads each.
+_SETTLED: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it again, so that lost executors never cost the work before it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _SETTLED[out] = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the table that settle() wrote for df, when nothing will read it again."""
+    if path := _SETTLED.pop(df, None):
+        _remove(df.sparkSession, path)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import settle
+from quire.llm.common import discard, partitions, settle
+
+#: Links in a task and file, about.
+TASK = 200_000
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -25,12 +28,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         last = state
         if not state["n"]:
             return spark.createDataFrame([], edges.select(F.col("u").alias("id"), F.col("v").alias("label")).schema)
+        tasks = 2 * state["n"] // TASK + 1
+        slim = (lambda d: d.coalesce(tasks)) if tasks < partitions(spark) else (lambda d: d)  # noqa: B023  few links, few tasks
         # large star: every greater neighbour of u moves to u's least neighbour
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = slim(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m")))
+        large = slim(both.where("v > u").join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # small star: every lesser neighbour of u, and u itself, moves to the least of them
-        low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
+        low = slim(large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m"))
         moved = large.join(low, F.col("u") == F.col("k")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = settle(moved.union(low.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct())
+        old, edges = edges, settle(slim(moved.union(low.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()))
+        discard(old)
     return edges.select(F.col("u").alias("id"), F.col("v").alias("label")).union(edges.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct())
