@@ -320,6 +320,31 @@ def test_op9_removes_passages_inside_sentences(spark):
     assert all(got[k]["words_removed"] >= 25 and got[k]["kept_sha256"] == hashlib.sha256(got[k]["text"].encode()).hexdigest() for k in (5, 7))
 
 
+def test_op9_near_copies_with_inner_edits(spark):
+    rng = random.Random(13)
+    sets = lambda t: {tuple(w[j : j + 5]) for w in [words(t)] for j in range(len(w) - 4)}
+    docs, pairs = {}, []
+    for k in range(60):
+        if k % 3 == 0:
+            one = sentence(rng, rng.randrange(80, 140), 9000)
+        elif k % 3 == 1:
+            one = " ".join(sentence(rng, 20, 9000) + "." for _ in range(6))
+        else:
+            one = sentence(rng, rng.randrange(40, 60), 9000) + "."
+        ws = one.split(" ")
+        for _ in range(rng.choice([1, 1, 2])):
+            ws[rng.randrange(3, len(ws) - 3)] = "edited."[: 6 + (k % 3 == 1)]
+        docs[2 * k], docs[2 * k + 1] = (sentence(rng, 10, 9000) + "\n" + t + "\n" + sentence(rng, 10, 9000) for t in (one, " ".join(ws)))
+        if len(sets(one) & sets(" ".join(ws))) >= 0.8 * len(sets(one) | sets(" ".join(ws))):
+            pairs.append((2 * k, " ".join(ws)))
+    docs[500] = sentence(rng, 40, 9000) + ". And so.\n" + sentence(rng, 10, 9000)  # a line like its sentence is no copy of it
+    assert len(pairs) > 40
+    got = {r["doc_id"]: r for r in substring_dedup.deduplicate(frame(spark, list(docs.items())), keep_text=True).collect()}
+    for k, copy in pairs:
+        assert got[k]["n_removed"] == 0 and got[k + 1]["words_removed"] == len(words(copy)), k
+    assert got[500]["n_removed"] == 0
+
+
 def test_op9_bands_reach_their_recall():
     bands, rows = substring_dedup.tuned()
     assert 1 - (1 - 0.8**rows) ** bands >= 0.995
