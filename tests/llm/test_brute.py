@@ -345,6 +345,33 @@ def test_op9_near_copies_with_inner_edits(spark):
     assert got[500]["n_removed"] == 0
 
 
+def test_op9_exact_repeats_go_whole(spark):
+    rng = random.Random(14)
+    docs = {k: [sentence(rng, 1, 9000) + rng.choice(["", "", "", ".", "\n"]) for _ in range(rng.randrange(150, 400))] for k in range(40)}
+    for k in range(0, 40, 2):
+        passage = [sentence(rng, 1, 9000) + ("\n" if k % 3 == 0 and j % 3 == 0 else "") for j in range(rng.randrange(51, 120))]
+        for d in (k, k + 1, (k + 7) % 40):
+            docs[d].insert(rng.randrange(len(docs[d])), " ".join(passage))
+    docs[40] = [*docs[40 - 1][:60], *["one", "two", "three"] * 60]
+    docs = {k: " ".join(w) for k, w in docs.items()}
+    first, expected = {}, {}
+    for k in sorted(docs):
+        ws = words(docs[k])
+        gone = np.zeros(len(ws), bool)
+        for j in range(len(ws) - 49):
+            d, q = first.setdefault(tuple(ws[j : j + 50]), (k, j))
+            if (d, q) != (k, j):
+                gone[max(j, q + 50) if d == k else j : j + 50] = True
+        expected[k] = [w for w, x in zip(ws, gone, strict=True) if not x]
+    got = {r["doc_id"]: r for r in substring_dedup.deduplicate(frame(spark, list(docs.items())), keep_text=True).collect()}
+    for k, left in expected.items():
+        r = got[k]
+        rest = iter(left)  # a sentence that is nearly all passage may go as a near copy
+        assert all(w in rest for w in words(r["text"])) and r["words_removed"] == len(words(docs[k])) - len(words(r["text"])), k
+        assert r["n_bytes"] - r["n_removed"] == len(r["text"].encode()) and (r["n_spans"] > 0) == (r["n_removed"] > 0)
+    assert sum(words(got[k]["text"]) == left for k, left in expected.items()) >= 20 and sum(r["n_spans"] for r in got.values()) > 35
+
+
 def test_op9_bands_reach_their_recall():
     bands, rows = substring_dedup.tuned()
     assert 1 - (1 - 0.8**rows) ** bands >= 0.995
