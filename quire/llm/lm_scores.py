@@ -8,7 +8,7 @@ the others share classes.
     P(token | before) = P(class | symbols before) * P(token | class)
 
 The first factor is a causal self-attention model in numpy, the second comes from the corpus counts with half added, and
-one place for unknown words in each class. Training goes over a fixed share of the windows of every training document:
+one place for unknown words in each class. Training goes over every window of every training document:
 each task takes its own steps from common weights, and rounds end with the mean of the tasks' weights. Both the counts
 and the steps grow with the input; the weights have a fixed size. In scoring, windows overlap by half: the first half is
 context, and each token is scored once, in the second half, by batched masked attention.
@@ -29,8 +29,8 @@ from quire.llm.common import batch_of, crc_of, lower_ascii, mixed, partitions, s
 
 #: Symbols of words, classes, width of the model, tokens of a half window.
 SYMBOLS, CLASSES, WIDTH, HALF = 2048, 128, 16, 16
-#: One of so many windows trains, rounds, windows in a step, step size, seed.
-ONE_OF, ROUNDS, BATCH, RATE, SEED = 4, 2, 128, 0.01, 11
+#: Rounds, windows in a step, step size, seed.
+ROUNDS, BATCH, RATE, SEED = 2, 128, 0.01, 11
 END, START, PAD = SYMBOLS, SYMBOLS + 1, SYMBOLS + 2
 #: Rows that carry one task's weights.
 SLICES = 8
@@ -273,7 +273,7 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(rows: DataFrame, of: np.ndarray, class_n: np.ndarray) -> list[np.ndarray]:
-    """Rounds of local steps on a fixed share of the windows, and the mean of the tasks' weights, by their steps."""
+    """Rounds of local steps, each window in one of them, and the mean of the tasks' weights, by their steps."""
     w = fresh(class_n)
     shapes = [x.shape for x in w]
     ddl = "slice int, steps double, part binary"
@@ -294,8 +294,8 @@ def train(rows: DataFrame, of: np.ndarray, class_n: np.ndarray) -> list[np.ndarr
                 if not len(symbols):
                     continue
                 inputs, targets, _ = windows(symbols, at)
-                mark = mixed((inputs[:, HALF:] * np.arange(1, HALF + 1)).sum(axis=1).astype(np.uint64) + np.uint64(number))
-                chosen = mark % np.uint64(ONE_OF) == 0
+                mark = mixed((inputs[:, HALF:] * np.arange(1, HALF + 1)).sum(axis=1).astype(np.uint64))
+                chosen = mark % np.uint64(ROUNDS) == number
                 held.append((inputs[chosen], np.where(targets[chosen] < 0, -1, of[targets[chosen]])))
                 waiting += int(chosen.sum())
                 if waiting > 8192:

@@ -191,6 +191,30 @@ def test_op4_gradients_and_causality():
     assert np.exp(lm_scores.log_probs(w, np.tile(inputs[1], (lm_scores.CLASSES, 1)), every)).sum(axis=0) == pytest.approx(1)
 
 
+def test_op4_trains_on_every_window_once(monkeypatch):
+    class Rows:
+        where = select = groupBy = lambda self, *a: self
+
+        def mapInArrow(self, learn, ddl):
+            self.out = [r for b in learn([batch]) for r in b.to_pylist()]
+            return self
+
+        applyInArrow = lambda self, *a: self
+        collect = lambda self: self.out
+
+    symbols = np.random.default_rng(3).integers(0, lm_scores.SYMBOLS, 9000).astype("<u2")
+    batch = pa.RecordBatch.from_pydict({"symbols": pa.array([symbols[:5000].tobytes(), symbols[5000:].tobytes()], pa.binary())})
+    seen, of, real = collections.Counter(), np.arange(lm_scores.SYMBOLS + 8) % lm_scores.CLASSES, lm_scores.gradients
+
+    def record(w, inputs, classes):
+        seen.update(x.tobytes() for x in inputs)
+        return real(w, inputs, classes)
+
+    monkeypatch.setattr(lm_scores, "gradients", record)
+    lm_scores.train(Rows(), of, np.arange(lm_scores.CLASSES))
+    assert seen == collections.Counter(x.tobytes() for x in lm_scores.windows(*lm_scores._flat(batch))[0])
+
+
 def test_op5_fingerprints(spark):
     rng = random.Random(7)
     texts = [sentence(rng, rng.randint(0, 60)) for _ in range(40)] + ["", None, "é\U0001f600" * 30, "x"]
