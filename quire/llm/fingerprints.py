@@ -3,7 +3,7 @@
 For a text of code points c, the modular prefix array H[i] = sum of c[j] * B^j below i answers whether any two spans are
 equal (one product each), and the longest common extension of two places by binary search over lengths. A fingerprint
 holds the hash of the whole text, of prefixes and suffixes of geometrically growing lengths, and the least hashes of
-short spans that begin at words, so two fingerprints alone tell equal texts, about how long their common prefix and
+short spans at all places, so two fingerprints alone tell equal texts, about how long their common prefix and
 suffix are, and about what share of their spans they have in common.
 """
 
@@ -96,9 +96,7 @@ class Fingerprint:
         self.heads = (mixed(p.spans(np.zeros(len(lengths), np.int64), lengths)) & np.uint64(0xFFFFFF)).astype(np.uint32)
         ends = lengths[::2]
         self.tails = (mixed(p.spans(p.n - ends, np.full(len(ends), p.n))) & np.uint64(0xFFFFFF)).astype(np.uint32)
-        space = np.isin(p.points, np.array([9, 10, 11, 12, 13, 32], np.uint64))
-        begins = np.flatnonzero(~space & np.concatenate((np.ones(min(1, p.n), bool), space[:-1])))
-        begins = begins[begins + SPAN <= p.n]
+        begins = np.arange(max(0, p.n - SPAN + 1))
         self.least = np.unique(mixed(p.spans(begins, begins + SPAN)) >> np.uint64(24))[:HELD]
 
     def text(self) -> str:

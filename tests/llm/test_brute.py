@@ -240,6 +240,14 @@ def test_op5_fingerprints(spark):
     assert one["near_next"] == 1 and one["edited_sha256"] == hashlib.sha256(b"aba").hexdigest()
 
 
+def test_op5_texts_without_space():
+    rng = random.Random(15)
+    one, other = ("".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(2000)) for _ in range(2))
+    near = one[:5] + "x" + one[6:-5] + "y" + one[-4:]
+    like = lambda a, b: fingerprints.likeness(fingerprints.Fingerprint(a), fingerprints.Fingerprint(b))
+    assert like(one, near) > 0.7 and like(one, one[:24] + other) < 0.2
+
+
 def test_op5_spans_and_extensions():
     a, b = fingerprints.Prefixes("abcabcabx"), fingerprints.Prefixes("zabcabcaby")
     assert a.span(0, 3) == a.span(3, 6) == b.span(1, 4) != a.span(1, 4)
