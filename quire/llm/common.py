@@ -67,6 +67,14 @@ def discard(df: DataFrame) -> None:
         _remove(df.sparkSession, path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like this one that df has not, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
