@@ -28,12 +28,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders made where spark.checkpoint.dir is unset, by application.
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or an own one where that is unset."""
+    """The folder that all executors share: spark.checkpoint.dir. In local mode, where that is unset, an own one; a cluster
+    must have it set, as executors would not see each other's files."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="quire-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = _OWN.setdefault(spark.sparkContext.applicationId, "")
+        if not found:
+            found = _OWN[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="quire-")
     return found.rstrip("/")
 
 
@@ -61,10 +69,14 @@ def settle(df: DataFrame) -> DataFrame:
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Remove the table that settle() wrote for df, when nothing will read it again."""
-    if path := _SETTLED.pop(df, None):
-        _remove(df.sparkSession, path)
+def discard(*frames: DataFrame) -> None:
+    """Remove the tables that settle() wrote for these, when nothing will read them again, and have Spark drop the shuffle
+    files of what is done: its cleaner does so when the driver collects its garbage, which may be long after."""
+    for df in frames:
+        if path := _SETTLED.pop(df, None):
+            _remove(df.sparkSession, path)
+    if frames:
+        frames[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -1,22 +1,39 @@
-"""Connected components of a table of links."""
+"""Connected components of a table of links, and totals of groups of which a few may be large."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import discard, partitions, settle
 
-#: Links in a task and file, about.
-TASK = 200_000
+#: Links in a task and file, about, and parts into which the rows of one group are dealt.
+TASK, PARTS = 200_000, 64
+
+
+def in_parts(rows: DataFrame, by: str, name: str = "part") -> DataFrame:
+    """rows with the part of its group that each is in, by the column `by`."""
+    return rows.withColumn(name, F.pmod(F.xxhash64(by), F.lit(PARTS)).cast("int"))
+
+
+def totals(rows: DataFrame, keys: list[str], first: dict[str, Column], then: dict[str, Column], part: str = "part") -> DataFrame:
+    """(keys, names, part): aggregates of each group, one row for each part of it that there is.
+
+    first: aggregates of a part; then: the same of those. Joined back on keys and part, the rows of a large group meet
+    their totals in as many tasks as it has parts, and no task gathers a group: of each part there is one row.
+    """
+    parts = rows.groupBy(*keys, part).agg(*[c.alias(n) for n, c in first.items()])
+    whole = parts.groupBy(*keys).agg(*[c.alias(n) for n, c in then.items()], F.collect_list(part).alias("parts"))
+    return whole.select(*keys, *then, F.explode("parts").alias(part))
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, label): each id in a link with the least id of its component.
 
-    Alternating large-star and small-star steps: every round is two aggregations with partial sums and joins back, links
-    are written to the shared folder after each round, and nothing but two sums reaches the driver. A link to null or
-    from an id to itself says nothing. Rounds end when the links no longer change, after about log2 of the longest path.
+    Alternating large-star and small-star steps: every round is two aggregations with partial sums and joins back, in
+    which the links of a star's centre are dealt in parts; links are written to the shared folder after each round, and
+    nothing but two sums reaches the driver. A link to null or from an id to itself says nothing. Rounds end when the
+    links no longer change, after about log2 of the longest path.
     """
     spark = links.sparkSession
     edges = settle(links.where(f"{a} <> {b}").select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
@@ -30,13 +47,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return spark.createDataFrame([], edges.select(F.col("u").alias("id"), F.col("v").alias("label")).schema)
         tasks = 2 * state["n"] // TASK + 1
         slim = (lambda d: d.coalesce(tasks)) if tasks < partitions(spark) else (lambda d: d)  # noqa: B023  few links, few tasks
+        least = lambda rows: slim(totals(rows, ["u"], {"m": F.min("v")}, {"m": F.min("m")}))  # noqa: E731, B023
         # large star: every greater neighbour of u moves to u's least neighbour
-        both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = slim(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m")))
-        large = slim(both.where("v > u").join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        both = in_parts(edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "v")
+        large = both.where("v > u").join(least(both), ["u", "part"]).select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        large = in_parts(slim(large.distinct()), "v")
         # small star: every lesser neighbour of u, and u itself, moves to the least of them
-        low = slim(large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m"))
-        moved = large.join(low, F.col("u") == F.col("k")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        old, edges = edges, settle(slim(moved.union(low.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()))
+        low = least(large)
+        moved = large.join(low, ["u", "part"]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        old, edges = edges, settle(slim(moved.union(low.select("u", F.col("m").alias("v"))).distinct()))
         discard(old)
     return edges.select(F.col("u").alias("id"), F.col("v").alias("label")).union(edges.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct())

@@ -8,8 +8,12 @@ are dealt by gram into shards, and each shard is sorted by external induction (s
 common prefix with a neighbour in suffix order reaches `length`, or if its entry weighs more than one. Verdicts go back to
 all places of an entry and their union is cut out of the texts.
 
-A gram's weight does not count in a shard, only its different surroundings do; a shard that outgrows memory is sorted in
-files. Texts move packed.
+A gram's weight does not count in a shard, only its different surroundings do. A gram that stands in HOT entries or more is
+dealt by those surroundings instead: the windows at NEAR distances from it share a core of their bytes, so its fragments
+are cut at those distances and each cut goes where its core's hash says. Entries are told apart by gram hash, entry hash,
+length and place of the gram, and texts by two hashes of 96 bits: two strings that agree in all of these count as equal.
+Texts move packed. A shard holds some MB of text, by its numbers all at once; beyond HELD its texts, and beyond the memory
+given the sort's queues, types and strings, turn to files, while seeds, their names and the cores' hashes stay in memory.
 """
 
 from __future__ import annotations
@@ -17,20 +21,25 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from quire.llm.bpe import packed, unpacked
 from quire.llm.common import _BYTE, _STEP, _powers, batch_of, mixed, partitions, settle, small_batches, steps, utf8
+from quire.llm.graph import in_parts, totals
 from quire.llm.suffix_sort import MEMORY, Shard
 
 #: Bytes of a window, of the grams that deal windows out, and of a shard, about.
 LENGTH, GRAM, SHARD = 400, 32, 2 << 20
-#: Distances from the gram that have one core, and bytes of texts that a shard holds before it turns to files.
-NEAR, HELD = 32, 16 << 20
+#: Distances from the gram that have one core, bytes of texts that a shard holds before it turns to files, and entries with
+#: which a gram is dealt by its surroundings.
+NEAR, HELD, HOT = 32, 16 << 20, 10_000
+#: What tells entries apart.
+ENTRY = ["gram", "entry", "bytes", "anchor"]
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
 _INVERSE = np.ones(1, np.uint64)
 
@@ -95,13 +104,14 @@ class Fragments:
 
     def __init__(self, length: int, memory: int):
         self.length, self.memory, self.core = length, memory, length - NEAR + 1
-        self.entries, self.weights, self.places, self.anchors, self.keys, self.owners, self.blocks = [], [], [], [], [], [], []
+        self.rows, self.weights, self.places, self.anchors, self.keys, self.owners, self.blocks = [], [], [], [], [], [], []
         self.held, self.file, self.size = [], None, 0
 
     def add(self, rows) -> None:
         data, at = utf8(rows.column("body"))
         begin, size = at[:-1], np.diff(at)
-        anchor, gram = rows.column("anchor").to_numpy().astype(np.int64), rows.column("gram").to_numpy().view(np.uint64)
+        anchor = rows.column("anchor").to_numpy().astype(np.int64) - rows.column("low").to_numpy()
+        gram = rows.column("gram").to_numpy().view(np.uint64)
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _powers(len(data))[: len(data)], dtype=np.uint64)))
         back = _inverses(len(data) + 1)
         nearest = anchor - (size - self.length)  # the least distance of a window from its gram
@@ -112,7 +122,7 @@ class Fragments:
             self.keys.append(mixed((sums[a + self.core] - sums[a]) * back[a] + mixed(gram[own] + np.uint64(block))))
             self.owners.append(first + own)
             self.blocks.append(np.full(len(own), block))
-        self.entries.append(rows.column("entry").to_numpy())
+        self.rows.append(rows.select([*ENTRY, "low"]))
         self.weights.append(rows.column("n").to_numpy())
         self.anchors.append(anchor)
         self.places.append(self.size + at)
@@ -129,7 +139,7 @@ class Fragments:
             self.file.write(body)
 
     def verdicts(self) -> dict:
-        """entry and found: the runs of windows that repeat, for each entry that has one."""
+        """What tells the entry apart, and found: the runs of its windows that repeat, for each row that has one."""
         weights, anchors = np.concatenate(self.weights), np.concatenate(self.anchors)
         begins, ends = np.concatenate([p[:-1] for p in self.places]), np.concatenate([p[1:] for p in self.places])
         windows = np.maximum(ends - begins - self.length + 1, 0)
@@ -166,8 +176,20 @@ class Fragments:
                 self.file.close()
         for o in np.flatnonzero((weights > 1) & (windows > 0)).tolist():
             found[o] = [np.array([0, windows[o]], np.int32)]
-        entries = np.concatenate(self.entries)
-        return {"entry": [int(entries[o]) for o in found], "found": [np.concatenate(r).tobytes() for r in found.values()]}
+        own = pa.Table.from_batches(self.rows).take(pa.array(list(found), pa.int64()))
+        moved = [(np.concatenate(r) + np.int32(low)).tobytes() for r, low in zip(found.values(), own.column("low").to_pylist(), strict=True)]
+        return {c: own.column(c).combine_chunks() for c in ENTRY} | {"found": moved}
+
+
+def by_surroundings(anchor: int, size: int, length: int) -> list[tuple[int, int, int]]:
+    """(first window, last window, begin of their core) of a fragment's windows, by their distance from the gram."""
+    out = []
+    for block in range((length - GRAM) // NEAR + 1):
+        core = anchor - block * NEAR
+        low, high = max(0, core - NEAR + 1), min(size - length, core)
+        if low <= high:
+            out.append((low, high, core))
+    return out
 
 
 def _packed_texts(rows: DataFrame) -> DataFrame:
@@ -175,55 +197,61 @@ def _packed_texts(rows: DataFrame) -> DataFrame:
         for batch in steps(batches):
             data, at = utf8(batch.column("text"))
             view = memoryview(np.ascontiguousarray(data))
-            yield batch_of("id long, row long, body binary", id=batch.column("id"), row=batch.column("row"), body=[packed(view[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)])
+            yield batch_of("id long, row long, crc long, body binary", id=batch.column("id"), row=batch.column("row"), crc=batch.column("crc"), body=[packed(view[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)])
 
-    return rows.mapInArrow(pack, "id long, row long, body binary")
+    return rows.mapInArrow(pack, "id long, row long, crc long, body binary")
 
 
-def removed_spans(rows: DataFrame, length: int, memory: int) -> DataFrame:
-    """(row, spans): for the texts with a repeat, what is cut out of each, as packed (begin, end) of maximal runs.
+def removed_spans(rows: DataFrame, length: int, memory: int, hot: int = HOT) -> DataFrame:
+    """(row, crc, spans): for the texts with a repeat, what is cut out of each, as packed (begin, end) of maximal runs.
 
-    rows: id, row (a number of its own for each text), text.
+    rows: id, row and crc (together a number of its own for each text), text.
     """
     spark = rows.sparkSession
-    ddl = "row long, gram long, entry long, bytes int, anchor int, n int, begins binary"
+    ddl = "row long, crc long, gram long, entry long, bytes int, anchor int, n int, begins binary"
 
     def deal(batches):
         for batch in steps(batches):
             doc, begin, size, gram, entry, anchor = fragments(*utf8(batch.column("text")), length)
             if not len(doc):
                 continue
-            order = np.lexsort((begin, entry, doc))  # a text's equal fragments are one row
+            order = np.lexsort((begin, anchor, size, gram, entry, doc))  # a text's equal fragments are one row
             doc, begin, size, gram, entry, anchor = (x[order] for x in (doc, begin, size, gram, entry, anchor))
-            first = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (entry[1:] != entry[:-1]))))
+            first = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (entry[1:] != entry[:-1]) | (gram[1:] != gram[:-1]) | (size[1:] != size[:-1]) | (anchor[1:] != anchor[:-1]))))
             last = np.append(first[1:], len(doc))
-            own = batch.column("row").to_numpy(zero_copy_only=False)[doc[first]]
+            own = pa.array(doc[first])
             small = begin.astype("<i4").tobytes()
-            yield batch_of(ddl, row=own, gram=gram[first], entry=entry[first], bytes=size[first], anchor=anchor[first], n=last - first, begins=[small[4 * a : 4 * b] for a, b in zip(first.tolist(), last.tolist(), strict=True)])
+            yield batch_of(ddl, row=batch.column("row").take(own), crc=batch.column("crc").take(own), gram=gram[first], entry=entry[first], bytes=size[first], anchor=anchor[first], n=last - first, begins=[small[4 * a : 4 * b] for a, b in zip(first.tolist(), last.tolist(), strict=True)])
 
-    places = settle(rows.select("row", "text").mapInArrow(deal, ddl))
-    entries = places.groupBy("gram", "entry", "bytes", "anchor").agg(F.sum("n").alias("n"), F.min("row").alias("row"), F.min_by("begins", "row").alias("begins"))
-    by_gram = W.partitionBy("gram")
-    wanted = settle(entries.withColumn("all", F.sum("n").over(by_gram)).where("all > 1").drop("all"))
+    places = settle(rows.select("row", "crc", "text").mapInArrow(deal, ddl))
+    entries = in_parts(places.groupBy(*ENTRY).agg(F.sum("n").alias("n"), F.min(F.struct("row", "crc", "begins")).alias("place")), "entry")
+    counted = totals(entries, ["gram"], {"all": F.sum("n"), "kinds": F.count("*")}, {"all": F.sum("all"), "kinds": F.sum("kinds")}).where("all > 1")
+    wanted = settle(entries.join(counted, ["gram", "part"]).select(*ENTRY, "n", "place.*", (F.col("kinds") >= hot).alias("hot")))
     shards = max(1, int((wanted.agg(F.sum("bytes")).first()[0] or 0) / SHARD) + 1)
-    asked = wanted.groupBy("row").agg(F.collect_list(F.struct("gram", "entry", "bytes", "anchor", "n", "begins")).alias("asked"))
-    texts = _packed_texts(rows.select("id", "row", "text")).drop("id")
-    cut_ddl = "shard int, gram long, entry long, anchor int, n long, body binary"
+    asked = wanted.groupBy("row", "crc").agg(F.collect_list(F.struct(*ENTRY, "n", "begins", "hot")).alias("asked"))
+    texts = _packed_texts(rows.select("id", "row", "crc", "text")).drop("id")
+    cut_ddl = "shard int, gram long, entry long, bytes int, anchor int, low int, n long, body binary"
 
     def cut(batches):
+        names = [x.split(" ")[0] for x in cut_ddl.split(", ")]
         for batch in batches:
-            out = {"shard": [], "gram": [], "entry": [], "anchor": [], "n": [], "body": []}
+            out = {c: [] for c in names}
             for body, want in zip(batch.column("body").to_pylist(), batch.column("asked").to_pylist(), strict=True):
                 text = unpacked(body)
                 for x in want:
                     begin = int(np.frombuffer(x["begins"], "<i4")[0])
-                    for c, v in zip(out, (x["gram"] % shards, x["gram"], x["entry"], x["anchor"], x["n"], text[begin : begin + x["bytes"]]), strict=True):
-                        out[c].append(v)
+                    whole = text[begin : begin + x["bytes"]]
+                    parts = [(x["gram"], 0, whole)]
+                    if x["hot"]:
+                        parts = [(zlib.crc32(whole[core : core + length - NEAR + 1]), low, whole[low : high + length]) for low, high, core in by_surroundings(x["anchor"], x["bytes"], length)]
+                    for key, low, own in parts:
+                        for c, v in zip(names, (key % shards, *[x[c] for c in ENTRY], low, x["n"], own), strict=True):
+                            out[c].append(v)
             yield batch_of(cut_ddl, **out)
 
-    pieces = texts.join(asked.hint("shuffle_hash"), "row").select("body", "asked").mapInArrow(cut, cut_ddl)
+    pieces = texts.join(asked.hint("shuffle_hash"), ["row", "crc"]).select("body", "asked").mapInArrow(cut, cut_ddl)
 
-    verdict_ddl = "entry long, found binary"
+    verdict_ddl = "gram long, entry long, bytes int, anchor int, found binary"
 
     def judge(batches):  # the rows of a shard follow each other
         current, shard = None, None
@@ -242,8 +270,8 @@ def removed_spans(rows: DataFrame, length: int, memory: int) -> DataFrame:
             yield batch_of(verdict_ddl, **shard.verdicts())
 
     verdicts = pieces.repartition(partitions(spark), "shard").sortWithinPartitions("shard").mapInArrow(judge, verdict_ddl)
-    hits = places.select("row", "entry", "begins").join(verdicts, "entry").select("row", "begins", "found")
-    gathered = hits.groupBy("row").agg(F.collect_list(F.struct("begins", "found")).alias("hits"))
+    hits = places.join(verdicts, ENTRY).select("row", "crc", "begins", "found")
+    gathered = hits.groupBy("row", "crc").agg(F.collect_list(F.struct("begins", "found")).alias("hits"))
 
     def unite(batches):
         for batch in batches:
@@ -257,12 +285,12 @@ def removed_spans(rows: DataFrame, length: int, memory: int) -> DataFrame:
                     ends.append((at + found[1::2] - 1 + length).ravel())
                 b, e = merged(np.concatenate(begins), np.concatenate(ends))
                 spans.append(np.column_stack((b, e)).astype("<i8").tobytes())
-            yield batch_of("row long, spans binary", row=batch.column("row"), spans=spans)
+            yield batch_of("row long, crc long, spans binary", row=batch.column("row"), crc=batch.column("crc"), spans=spans)
 
-    return gathered.mapInArrow(unite, "row long, spans binary")
+    return gathered.mapInArrow(unite, "row long, crc long, spans binary")
 
 
-def deduplicate(docs: DataFrame, *, id: str = "doc_id", text: str = "text", length: int = LENGTH, memory: int = MEMORY, keep_text: bool = False) -> DataFrame:
+def deduplicate(docs: DataFrame, *, id: str = "doc_id", text: str = "text", length: int = LENGTH, memory: int = MEMORY, hot: int = HOT, keep_text: bool = False) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the bytes left) for every row of docs.
 
     Each byte under a string of `length` bytes that starts at another place too, in any text, is removed; strings are
@@ -272,8 +300,8 @@ def deduplicate(docs: DataFrame, *, id: str = "doc_id", text: str = "text", leng
     small_batches(docs.sparkSession)
     own = docs.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # A number of its own for each text: rows alike in id and text share it, and so do their places and verdicts.
-    rows = own.withColumn("row", F.xxhash64("id", F.xxhash64("text")))
-    spans = removed_spans(rows, length, memory)
+    rows = own.withColumns({"row": F.xxhash64("id", F.xxhash64("text")), "crc": F.crc32("text")})
+    spans = removed_spans(rows, length, memory, hot)
     ddl = f"{id} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
 
     def finish(batches):
@@ -297,5 +325,5 @@ def deduplicate(docs: DataFrame, *, id: str = "doc_id", text: str = "text", leng
             out[id] = out.pop("id")
             yield batch_of(ddl, **out)
 
-    return _packed_texts(rows).join(spans.hint("shuffle_hash"), "row", "left").select("id", "body", "spans").mapInArrow(finish, ddl)
+    return _packed_texts(rows).join(spans.hint("shuffle_hash"), ["row", "crc"], "left").select("id", "body", "spans").mapInArrow(finish, ddl)
 
