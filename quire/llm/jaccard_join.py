@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from quire.llm.common import batch_of, hashed, lower_ascii, mixed, settle, small_batches, steps, utf8, word_array, words
+from quire.llm.common import batch_of, hashed, lower_ascii, mixed, settle, small_batches, steps, unused, utf8, word_array, words
 from quire.llm.links import all_links, grouped, linked
 from quire.llm.stats import windows
 
@@ -103,7 +103,7 @@ class Join:
         return np.concatenate([np.frombuffer(bytes(r["part"]), np.int32) for r in parts]) if parts else np.zeros(BUCKETS, np.int32)
 
     def _shared(self) -> DataFrame:
-        """(h, id, n): classes at each n-gram that stands in the prefixes of two classes or more; id is the class's least."""
+        """(h, id, n, g): classes at each n-gram that stands in the prefixes of two classes or more; id is the class's least."""
         width, share = self.width, self.share
         heavy = self.spark.sparkContext.broadcast(self.heaviness)  # BUCKETS numbers, whatever the input
 
@@ -167,7 +167,8 @@ def jaccard_components(docs: DataFrame, *, id: str = "doc_id", text: str = "text
 def one_of_each(docs: DataFrame, *, id: str = "doc_id", text: str = "text", width: int = 3, threshold: float = 0.9) -> DataFrame:
     """docs with one document of each component, that of the least id, with all its columns. Rows that repeat an id are
     one document, of which the row with the least text hash stays; rows with a null id stay."""
-    found = jaccard_components(docs, id=id, text=text, width=width, threshold=threshold).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    kept = docs.join(found.hint("shuffle_hash"), F.col(id) == F.col("__kept"), "left_semi")
-    kept = kept.withColumn("__row", F.row_number().over(W.partitionBy(id).orderBy(F.xxhash64(text)))).where("__row = 1").drop("__row")
+    own, number = unused(docs, "__kept"), unused(docs, "__row")
+    found = jaccard_components(docs, id=id, text=text, width=width, threshold=threshold).where("doc_id = component_id").select(F.col("doc_id").alias(own)).distinct()
+    kept = docs.join(found.hint("shuffle_hash"), F.col(id) == F.col(own), "left_semi")
+    kept = kept.withColumn(number, F.row_number().over(W.partitionBy(id).orderBy(F.xxhash64(text)))).where(F.col(number) == 1).drop(number)
     return kept.union(docs.where(F.col(id).isNull()))

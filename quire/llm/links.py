@@ -2,12 +2,16 @@
 
 Verification is by vertical partitioning: the global order of elements (their hash) is cut into fragments; each fragment of
 a bucket of candidates counts its part of the overlaps on its own, and the parts are summed per pair. A bucket with more
-elements is cut into more fragments, so no task holds more than a fixed number of them, about.
+elements is cut into more fragments, so no task holds more than a fixed number of them, about; where pairs crowd round one
+set, they are dealt into more buckets.
 
 Groups of up to LIMIT sets give all their pairs. Sets that meet in larger ones are gathered into crowds, a crowd is cut by
 size into blocks, and each two blocks whose sizes allow a link are compared in one task, fragment after fragment, in a
 matrix of overlaps. Such a task gives each set one link to its component in the two blocks and the number of its links, so
-a large group of near copies makes rows in proportion to its members and not to their pairs, and both stay exact.
+a large group of near copies makes rows in proportion to its members and not to their pairs, and both stay exact. The
+number of block pairs still grows with the square of a crowd's blocks, as exact numbers of links need every pair.
+
+No step gathers a group in one task: what is counted or ranked in a group is counted in parts of it first (graph.totals).
 """
 
 from __future__ import annotations
@@ -17,16 +21,18 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from quire.llm.common import batch_of, partitions, settle
-from quire.llm.graph import components
+from quire.llm.common import batch_of, discard, partitions, settle
+from quire.llm.graph import components, in_parts, totals
 
-#: Members of a group that gives all its pairs; elements that a fragment of a bucket holds, about; sets of a crowd's block,
-#: and elements that its matrices have at once.
-LIMIT, FRAGMENT, BLOCK, COLUMNS = 48, 500_000, 512, 4096
+#: Members of a group that gives all its pairs; elements that a fragment of a bucket holds, about, and pairs round one set
+#: that are one bucket's; sets of a crowd's block, and elements that its matrices have at once.
+LIMIT, FRAGMENT, PAIRS, BLOCK, COLUMNS = 48, 500_000, 100_000, 512, 4096
+#: Buckets in which groups are counted to find large ones, and rows that a bucket holds more than four shares, at least.
+BUCKETS, HOT = 1 << 16, 1000
 
 
 def close_in_size(pairs: DataFrame, share: Fraction) -> DataFrame:
@@ -47,11 +53,42 @@ def _met(rows: DataFrame, apart: str, share: Fraction) -> DataFrame:
     return _ordered(rows.join(other, (F.col("h") == F.col("h_")) & F.expr(apart) & F.expr(near)), share)
 
 
-def grouped(rows: DataFrame) -> DataFrame:
-    """(h, id, n, g): the rows (h, id, n) of groups with two members or more, each once, with the group's size."""
-    at = W.partitionBy("h").orderBy("id")
+def _apart(rows: DataFrame) -> list[int]:
+    """Buckets of h that hold far more of the rows than a bucket's share: a quarter of them at most."""
+    bound = HOT + 4 * rows.count() // BUCKETS
+    per = rows.groupBy(_bucket().alias("bucket")).agg(F.count("*").alias("c"))
+    return sorted(r["bucket"] for r in per.where(F.col("c") > bound).collect())
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("h"), F.lit(BUCKETS)).cast("int")
+
+
+def _once(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows, each id of a group once, with how many there are as g."""
+    at = W.partitionBy(*keys).orderBy("id")
     once = rows.withColumn("before", F.lag("id").over(at)).where("before is null or before <> id").drop("before")
-    return once.withColumn("g", F.count("*").over(W.partitionBy("h"))).where("g > 1")
+    return once.withColumn("g", F.count("*").over(W.partitionBy(*keys)))
+
+
+def grouped(rows: DataFrame) -> DataFrame:
+    """The rows (h, id, n and other columns) of groups h with two members or more, each id once, and the group's size g.
+
+    Groups in buckets that hold far more than their share are counted in parts, and the parts are summed.
+    """
+    rows = settle(rows)
+    apart = _apart(rows)
+    if not apart:
+        out = settle(_once(rows, ["h"]).where("g > 1"))
+        discard(rows)
+        return out
+    marked = rows.withColumn("bucket", _bucket()).join(F.broadcast(rows.sparkSession.createDataFrame([(x,) for x in apart], "bucket int").withColumn("hot", F.lit(True))), "bucket", "left").drop("bucket")
+    cold = _once(marked.where("hot is null").drop("hot"), ["h"]).where("g > 1")
+    hot = settle(_once(in_parts(marked.where("hot").drop("hot"), "id"), ["h", "part"]))
+    size = totals(hot, ["h"], {"g": F.max("g")}, {"g": F.sum("g")}).where("g > 1")
+    out = settle(cold.unionByName(hot.drop("g").join(size, ["h", "part"]).drop("part")))
+    discard(rows, hot)
+    return out
 
 
 def candidates(shared: DataFrame, share: Fraction, limit: int, prefixes: bool) -> DataFrame:
@@ -71,12 +108,20 @@ def candidates(shared: DataFrame, share: Fraction, limit: int, prefixes: bool) -
 
 
 def verified(pairs: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
-    """The pairs (a, b, na, nb) that reach the threshold, with their overlap. sets: id, found (sorted 64-bit elements)."""
-    groups = components(pairs)
+    """The pairs (a, b, na, nb) that reach the threshold, with their overlap. sets: id, found (sorted 64-bit elements); rows
+    that repeat an id count once."""
     buckets = partitions(pairs.sparkSession) * 4
-    bucket = F.pmod(F.xxhash64("label"), F.lit(buckets)).cast("int")
-    sized = settle(sets.join(groups, "id").select(bucket.alias("bucket"), "id", "found", (F.length("found") / 8).cast("long").alias("size")))
-    cuts = settle(sized.groupBy("bucket").agg(F.greatest(F.lit(2), F.ceil(F.sum("size") / FRAGMENT)).cast("int").alias("cuts")))
+    # Pairs of a group of candidates are near each other if they are dealt by the least id that meets their first one.
+    ends = in_parts(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).union(pairs.select("b", "a")), "v")
+    met = totals(ends, ["u"], {"m": F.min("v")}, {"m": F.min("m")})
+    labelled = in_parts(pairs.select("a", "b", "na", "nb"), "b").join(met.withColumnRenamed("u", "a"), ["a", "part"]).select("a", "b", "na", "nb", F.least("a", "m").alias("label"))
+    labelled = in_parts(labelled, "a")
+    many = totals(labelled, ["label"], {"c": F.count("*")}, {"c": F.sum("c")})
+    apart = F.pmod(F.xxhash64(F.lit(7), "a"), F.ceil(F.col("c") / PAIRS))
+    bucket = F.pmod(F.xxhash64("label", apart), F.lit(buckets)).cast("int")
+    dealt = settle(labelled.join(many, ["label", "part"]).select(bucket.alias("bucket"), "a", "b", "na", "nb"))
+    members = dealt.select("bucket", F.col("a").alias("id"), F.col("na").alias("n")).union(dealt.select("bucket", "b", "nb")).distinct()
+    cuts = settle(members.groupBy("bucket").agg(F.greatest(F.lit(2), F.ceil(F.sum("n") / FRAGMENT)).cast("int").alias("cuts")))
     ddl = "bucket int, fragment int, id long, found binary"
 
     def cut(batches):
@@ -90,9 +135,8 @@ def verified(pairs: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
                         out[c].append(v)
             yield batch_of(ddl, **out)
 
-    segments = sized.join(cuts, "bucket").select("bucket", "id", "found", "cuts").mapInArrow(cut, ddl)
-    dealt = pairs.join(groups.withColumnRenamed("id", "a"), "a").withColumn("bucket", bucket).join(cuts, "bucket")
-    dealt = dealt.select("bucket", F.explode(F.expr("sequence(0, cuts - 1)")).alias("fragment"), "a", "b")
+    segments = sets.join(members.join(cuts, "bucket"), "id").select("bucket", "id", "found", "cuts").mapInArrow(cut, ddl)
+    dealt = dealt.join(cuts, "bucket").select("bucket", F.explode(F.expr("sequence(0, cuts - 1)")).alias("fragment"), "a", "b")
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
         segment = dict(zip(left.column("id").to_pylist(), (np.frombuffer(x, np.uint64) for x in left.column("found").to_pylist()), strict=True))
@@ -156,6 +200,22 @@ def joined(ids: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray
         label = new
 
 
+def _blocks(large: DataFrame, members: DataFrame) -> DataFrame:
+    """(label, id, n, block) of all members of crowds, sorted by size: blocks of BLOCK sets, or twice as many, at most.
+
+    Sizes that many sets of a crowd have are cut into blocks by a hash; the others share blocks with their neighbours.
+    """
+    light = settle(in_parts(large.select("id", "n").distinct().join(members, "id"), "id"))
+    per = totals(light, ["label", "n"], {"c": F.count("*")}, {"c": F.sum("c")})
+    order = W.partitionBy("label").orderBy("n").rowsBetween(W.unboundedPreceding, -1)  # of sizes, not of sets
+    own = per.groupBy("label", "n").agg(F.first("c").alias("c")).withColumn("k", F.when(F.col("c") >= BLOCK, F.ceil(F.col("c") / BLOCK)).otherwise(0))
+    before = own.withColumn("small", F.coalesce(F.sum(F.when(F.col("k") == 0, F.col("c")).otherwise(0)).over(order), F.lit(0)))
+    before = before.withColumn("large", F.coalesce(F.sum("k").over(order), F.lit(0))).select("label", "n", "k", "small", "large")
+    cut = light.join(per.join(before, ["label", "n"]), ["label", "n", "part"])
+    block = F.when(F.col("k") == 0, -1 - F.floor(F.col("small") / BLOCK)).otherwise(F.col("large") + F.pmod(F.xxhash64(F.lit(3), "id"), F.greatest("k", F.lit(1))))
+    return cut.select("label", "id", "n", block.cast("long").alias("block"))
+
+
 def crowds(large: DataFrame, sets: DataFrame, share: Fraction, weights: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((id, crowd), (a, b, links)) of all sets that meet in groups of `large` (h, id, n).
 
@@ -163,16 +223,13 @@ def crowds(large: DataFrame, sets: DataFrame, share: Fraction, weights: DataFram
     (id, weight) of all sets there that b is linked with.
     """
     p, q = share.numerator, share.denominator
-    at = W.partitionBy("h").orderBy("id")
-    chain = large.withColumn("a", F.lead("id").over(at)).where("a is not null").select("a", F.col("id").alias("b"))
-    members = components(chain)
-    members = settle(members)
-    sized = sets.join(members, "id").join(weights, "id").withColumn("n", (F.length("found") / 8).cast("long"))
-    place = F.row_number().over(W.partitionBy("label").orderBy("n", "id")) - 1
-    blocked = settle(sized.select("label", "id", "n", "weight", F.floor(place / BLOCK).cast("int").alias("block"), "found"))
+    large = in_parts(large, "id")
+    least = totals(large, ["h"], {"low": F.min("id")}, {"low": F.min("low")})
+    members = settle(components(large.join(least, ["h", "part"]).select(F.col("low").alias("a"), F.col("id").alias("b"))))
+    blocked = settle(_blocks(large, members).join(sets, "id").dropDuplicates(["label", "id"]).join(weights, "id"))
     spans = blocked.groupBy("label", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    later = spans.select(F.col("label").alias("label_"), F.col("block").alias("j"), F.col("low").alias("low_"))
-    met = spans.join(later, (F.col("label") == F.col("label_")) & (F.col("block") <= F.col("j")) & (F.col("high") * q >= F.col("low_") * p))
+    later = spans.select(F.col("label").alias("label_"), F.col("block").alias("j"), F.col("low").alias("low_"), F.col("high").alias("high_"))
+    met = spans.join(later, (F.col("label") == F.col("label_")) & (F.col("block") <= F.col("j")) & (F.col("high") * q >= F.col("low_") * p) & (F.col("high_") * q >= F.col("low") * p))
     met = settle(met.select("label", F.col("block").alias("i"), "j"))
     sides = met.select("label", "i", "j", F.col("i").alias("block")).union(met.select("label", "i", "j", F.col("j").alias("block"))).distinct()
     dealt = blocked.join(sides, ["label", "block"])
@@ -204,10 +261,10 @@ def linked(shared: DataFrame, sets: Callable[[DataFrame], DataFrame], share: Fra
     pairs = settle(candidates(shared, share, limit, prefixes))
     large = settle(shared.where(F.col("g") > limit).select("h", "id", "n"))
     again = bool(large.head(1))
-    wanted = _ids(pairs).union(large.select("id")).distinct() if again else _ids(pairs)
+    wanted = settle(_ids(pairs).union(large.select("id")).distinct() if again else _ids(pairs))
     found = settle(sets(wanted))
     if weights is None:
-        weights = found.select("id", F.lit(1).cast("long").alias("weight"))
+        weights = wanted.select(F.col("wanted").alias("id"), F.lit(1).cast("long").alias("weight"))
     links = settle(verified(pairs, found, share).select("a", "b"))
     if again:
         members, compared = crowds(large, found, share, weights)
@@ -216,6 +273,7 @@ def linked(shared: DataFrame, sets: Callable[[DataFrame], DataFrame], share: Fra
         # Pairs inside one crowd are compared there; counted here too, they would count twice.
         links = links.join(crowd("a"), "a", "left").join(crowd("b"), "b", "left").where("crowd_a is null or crowd_b is null or crowd_a <> crowd_b").select("a", "b")
         links = settle(links)
+    discard(found)
     labels = components(links.union(compared.select("a", "b")) if again else links)
     both = links.select(F.col("a").alias("id"), F.col("b").alias("other")).union(links.select("b", "a"))
     degrees = both.join(weights.withColumnsRenamed({"id": "other", "weight": "links"}), "other").select("id", "links")
