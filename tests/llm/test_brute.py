@@ -4,7 +4,9 @@ import collections
 import hashlib
 import importlib
 import math
+import pathlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -45,10 +47,9 @@ def test_suffix_arrays(memory):
         scratch.close()
 
 
-@pytest.mark.parametrize("memory", [1 << 28, 3000])
-def test_op1_removes_what_repeats(spark, memory, monkeypatch):
+@pytest.mark.parametrize(("memory", "hot", "length"), [(1 << 28, 10_000, 60), (3000, 10_000, 60), (1 << 28, 2, 60), (1 << 28, 2, 110)])
+def test_op1_removes_what_repeats(spark, memory, hot, length, monkeypatch):
     rng = random.Random(2)
-    length = 60
     shared = [sentence(rng, 30) for _ in range(3)]
     texts = [sentence(rng, rng.randint(5, 60)) for _ in range(25)]
     for k in range(0, 25, 2):
@@ -63,7 +64,7 @@ def test_op1_removes_what_repeats(spark, memory, monkeypatch):
     bodies = [(t or "").encode() for t in texts]
     for b in bodies:
         count.update(b[p : p + length] for p in range(len(b) - length + 1))
-    got = {r["doc_id"]: r for r in suffix_dedup.deduplicate(frame(spark, list(enumerate(texts))), length=length, memory=memory, keep_text=True).collect()}
+    got = {r["doc_id"]: r for r in suffix_dedup.deduplicate(frame(spark, list(enumerate(texts))), length=length, memory=memory, hot=hot, keep_text=True).collect()}
     for k, b in enumerate(bodies):
         cover = np.zeros(len(b) + 1, int)
         for p in range(len(b) - length + 1):
@@ -139,6 +140,67 @@ def test_op3_takes_what_targets_say(spark):
     assert sum(len(words(r["text"])) for r in texts) == sum(r["taken"] for r in got)
 
 
+def test_op3_blocks_shards_and_spacing(spark):
+    rng = random.Random(24)
+    gaps = [" ", "\n", "  ", "\t\n", "\r\n"]
+    text = lambda n: rng.choice(["", " ", "\n"]) + "".join(f"w{rng.randrange(10**9)}" + rng.choice(gaps) for _ in range(n)) + f"w{rng.randrange(10**9)}" + rng.choice(["", "\n"])
+    rows = [(k, text(rng.choice([5, 40, 300, 900])), "abcd"[k % 4]) for k in range(160)]
+    docs = frame(spark, rows, "doc_id long, text string, source string")
+    how = {"block_words": 128, "shard_blocks": 16}
+    documents, pieces = mixing.mix(docs, **how)
+    pieces = pieces.cache()
+    got = {r["doc_id"]: r["taken"] for r in mixing.taken(documents, pieces).collect()}
+    other = {r["doc_id"]: r["taken"] for r in mixing.taken(*mixing.mix(docs, **how, seed=99)).collect()}
+    source_of = {k: s for k, _, s in rows}
+    totals = [collections.Counter() for _ in range(2)]
+    for t, taken_ in zip(totals, (got, other), strict=True):
+        for k, n in taken_.items():
+            t[source_of[k]] += n
+    assert totals[0] == totals[1] and got != other  # another seed takes other words, as many of each source
+    each = pieces.collect()
+    blocks, shards = collections.defaultdict(set), collections.defaultdict(set)
+    for r in each:
+        blocks[(r["rank"], r["block"])].add(r["shard"])
+        shards[r["shard"]].add((r["rank"], r["block"]))
+    assert all(len(x) == 1 for x in blocks.values()) and len(shards) > 4
+    sizes = [len(x) for x in shards.values()]
+    assert max(sizes) <= 17 and min(sizes) >= 15  # the tree's shards hold so many blocks each
+    spread = sum(b + 1 not in {y for r, y in own if r == rank} for own in shards.values() for rank, b in own)
+    assert spread > 0.5 * sum(sizes)  # blocks of a shard are not neighbours on a line
+    of = {k: t for k, t, _ in rows}
+    seen, texts = collections.Counter(), mixing.mixed_texts(docs, **how).collect()
+    for r in texts:
+        whole, n = of[r["doc_id"]], len(words(r["text"]))
+        seen[r["doc_id"]] += n
+        if n == len(words(whole)):
+            assert r["text"] == whole
+        else:
+            rest = iter(words(whole))
+            assert all(w in rest for w in words(r["text"]))
+    assert seen == collections.Counter({k: n for k, n in got.items() if n})
+    gap_of = {w.split()[0]: w for _, t, _ in rows for w in re.findall(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", t)}
+    cut = [r for r in texts if len(words(r["text"])) < len(words(of[r["doc_id"]]))]
+    assert cut and all(gap_of[w.split()[0]] == w for r in cut for w in re.findall(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]+", r["text"])[:-1])
+    assert "Broadcast" not in mixing.taken(documents, pieces)._jdf.queryExecution().executedPlan().toString()
+    written = [r["doc_id"] for r in texts]
+    assert written != sorted(written)
+
+
+def test_op3_permutation(spark):
+    from pyspark.sql import functions as F
+
+    for size, words_ in ((1000, 128), (1024, 128), (5, 128), (129, 128)):
+        own = mixing.Blocks(F.lit(0).cast("long"), words_, 5)
+        n = -(-size // words_)
+        got = spark.range(n).select(F.col("id"), F.lit(2).alias("rank"), F.lit(size).cast("long").alias("source_size")).select("id", own.place(F.col("id")).alias("place"), own.before(own.place(F.col("id"))).alias("before")).collect()
+        assert sorted(r["place"] for r in got) == list(range(n))
+        total = 0
+        for r in sorted(got, key=lambda r: r["place"]):
+            assert r["before"] == total
+            total += min(words_, size - r["id"] * words_)
+        assert total == size
+
+
 def test_op3_hypergeometric(spark):
     from pyspark.sql import functions as F
 
@@ -164,16 +226,74 @@ def test_op4_counts_and_model(spark):
         assert r["base_score"] == pytest.approx(base) and r["score"] < 0
 
 
+def plain_score(tokens, count, w, of, class_n, class_v):
+    """log10 of the probability of (spelling, word) tokens, one token after another."""
+    e, q, k, v, distance, out, bias = [x.astype(np.float64) for x in w]
+    total = 0.0
+    for t, (ids, word) in enumerate(tokens):
+        first = t // lm_scores.HALF * lm_scores.HALF - lm_scores.HALF - 1
+        before = [[lm_scores.START] if j < 0 else tokens[j][0] for j in range(max(-1, first), t)]
+        x = np.array([e[y].mean(axis=0) for y in before])
+        own = x[-1]
+        weight = x @ k @ (own @ q) / math.sqrt(lm_scores.WIDTH) + distance[np.arange(len(x))[::-1]]
+        weight = np.exp(weight - weight.max())
+        h = own + (weight / weight.sum()) @ (x @ v)
+        logits = h @ out + bias
+        c = of[ids[0]]
+        total += (logits[c] - logits.max() - np.log(np.exp(logits - logits.max()).sum())) / math.log(10)
+        total += math.log10((count[word] + 0.5) / (class_n[c] + 0.5 * (class_v[c] + 1)))
+    return total
+
+
+def test_op4_scores_are_the_models(spark, monkeypatch):
+    rng = random.Random(26)
+    names = [sentence(rng, 1, 5000) for _ in range(80)]
+    after = {w: rng.sample(names, 3) for w in names}
+
+    def chain(n):
+        out = [rng.choice(names)]
+        while len(out) < n:
+            out.append(rng.choice(after[out[-1]]))
+        return " ".join(out[:n])
+
+    rows = [(k, chain(rng.randint(0, 90))) for k in range(900)] + [(5000, None), (5001, "ünseen wörds \U0001f600 " * 20)]
+    seen = {}
+    real = lm_scores.train
+    monkeypatch.setattr(lm_scores, "train", lambda *a: seen.setdefault("w", real(*a)))
+    got = {r["doc_id"]: r for r in lm_scores.score_documents(frame(spark, rows).repartition(3)).collect()}
+    spelling = lambda word: [int(x) for x in lm_scores.spelt([word.encode()], vocabulary("word_bpe_49k.json"))[1]] if word is not None else [lm_scores.END]
+    tokens = {k: [(spelling(x), x) for x in [*words((t or "").lower()), None]] for k, t in rows}
+    count = collections.Counter(x for k, ts in tokens.items() if zlib.crc32(str(k).encode()) % 5 != 1 for _, x in ts)
+    known = lm_scores.Counts(count[None], np.zeros(lm_scores.NONE + 1, np.int64), np.zeros(lm_scores.NONE + 1, np.int64))
+    for word, n in count.items():
+        if word is not None:
+            known.n[spelling(word)[0]] += n
+            known.v[spelling(word)[0]] += 1
+    of, class_n, class_v = known.classes()
+    assert np.bincount(of, weights=class_n[of] * 0 + 1).sum() == lm_scores.NONE + 1 and of[lm_scores.END] == 0
+    for k in [*range(0, 900, 29), 5000, 5001]:
+        assert got[k]["score"] == pytest.approx(plain_score(tokens[k], count, seen["w"], of, class_n, class_v), rel=1e-4), k
+    held = [r for r in got.values() if r["held_out"] and r["doc_id"] < 900]
+    per = lambda c: sum(r[c] for r in held) / sum(r["n_tokens"] for r in held)
+    assert len(held) > 100 and per("score") > per("base_score") + 0.05
+
+
 def test_op4_gradients_and_causality():
     rng = np.random.default_rng(0)
     w = [x.astype(np.float64) for x in lm_scores.fresh(np.arange(lm_scores.CLASSES))]
-    symbols = rng.integers(0, lm_scores.SYMBOLS, 75)
-    inputs, targets, doc = lm_scores.windows(symbols, np.array([0, 40, 40, 75]))
+    lengths = rng.integers(1, 4, 75)
+    ids, at = rng.integers(0, lm_scores.SYMBOLS, int(lengths.sum())), np.array([0, 40, 40, 75])
+    tokens = lm_scores.Tokens(ids, lengths, at)
+    inputs, targets, doc = tokens.windows()
     assert (targets >= 0).sum() == 75 and list(doc) == [0, 0, 0, 2, 2, 2]
-    classes = np.where(targets < 0, -1, targets % lm_scores.CLASSES)
-    loss = lambda: -lm_scores.log_probs(w, inputs, classes).sum() / 75
-    grads = lm_scores.gradients(w, inputs, classes)
-    for x, g in zip(w, grads, strict=True):
+    classes = np.where(targets < 0, -1, tokens.first[targets] % lm_scores.CLASSES)
+    spelled = lm_scores.Spelling(tokens, inputs)
+    loss = lambda: -lm_scores.log_probs(w, spelled, classes).sum() / 75
+    (rows, d_e), *grads = lm_scores.gradients(w, spelled, classes)
+    dense = np.zeros_like(w[0])
+    dense[rows] = d_e
+    assert set(rows.tolist()) <= {*ids.tolist(), lm_scores.START, lm_scores.PAD}
+    for x, g in zip(w, [dense, *grads], strict=True):
         place = np.unravel_index(np.argmax(np.abs(g)), g.shape)
         old = x[place]
         x[place] = old + 1e-5
@@ -182,18 +302,21 @@ def test_op4_gradients_and_causality():
         down = loss()
         x[place] = old
         assert (up - down) / 2e-5 == pytest.approx(g[place], rel=2e-2)
-    before = lm_scores.log_probs(w, inputs, classes)
-    changed = symbols.copy()
-    changed[30:40] = (changed[30:40] + 7) % lm_scores.SYMBOLS
-    after = lm_scores.log_probs(w, lm_scores.windows(changed, np.array([0, 40, 40, 75]))[0], classes)
+    before = lm_scores.log_probs(w, spelled, classes)
+    changed = ids.copy()
+    a, b = tokens.edges[30], tokens.edges[40]
+    changed[a:b] = (changed[a:b] + 7) % lm_scores.SYMBOLS
+    other = lm_scores.Tokens(changed, lengths, at)
+    after = lm_scores.log_probs(w, lm_scores.Spelling(other, other.windows()[0]), classes)
     assert np.allclose(before[:2].ravel()[:31], after[:2].ravel()[:31]) and not np.allclose(before[2], after[2])
     every = np.tile(np.arange(lm_scores.CLASSES)[:, None], (1, lm_scores.HALF))
-    assert np.exp(lm_scores.log_probs(w, np.tile(inputs[1], (lm_scores.CLASSES, 1)), every)).sum(axis=0) == pytest.approx(1)
+    tiled = lm_scores.Spelling(tokens, np.tile(inputs[1], (lm_scores.CLASSES, 1)))
+    assert np.exp(lm_scores.log_probs(w, tiled, every)).sum(axis=0) == pytest.approx(1)
 
 
 def test_op4_trains_on_every_window_once(monkeypatch):
     class Rows:
-        where = select = groupBy = lambda self, *a: self
+        where = select = groupBy = withColumn = lambda self, *a: self
 
         def mapInArrow(self, learn, ddl):
             self.out = [r for b in learn([batch]) for r in b.to_pylist()]
@@ -202,17 +325,26 @@ def test_op4_trains_on_every_window_once(monkeypatch):
         applyInArrow = lambda self, *a: self
         collect = lambda self: self.out
 
-    symbols = np.random.default_rng(3).integers(0, lm_scores.SYMBOLS, 9000).astype("<u2")
-    batch = pa.RecordBatch.from_pydict({"symbols": pa.array([symbols[:5000].tobytes(), symbols[5000:].tobytes()], pa.binary())})
-    seen, of, real = collections.Counter(), np.arange(lm_scores.SYMBOLS + 8) % lm_scores.CLASSES, lm_scores.gradients
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(1, 4, 9000).astype("<u4")
+    symbols, cut = rng.integers(0, lm_scores.SYMBOLS, int(lengths.sum())).astype("<u2"), int(lengths[:5000].sum())
+    batch = pa.RecordBatch.from_pydict({"symbols": pa.array([symbols[:cut].tobytes(), symbols[cut:].tobytes()], pa.binary()), "lengths": pa.array([lengths[:5000].tobytes(), lengths[5000:].tobytes()], pa.binary())})
+    seen, of, spell = collections.Counter(), np.arange(lm_scores.NONE + 1) % lm_scores.CLASSES, lm_scores.Spelling
 
-    def record(w, inputs, classes):
-        seen.update(x.tobytes() for x in inputs)
-        return real(w, inputs, classes)
+    class Seen(spell):
+        def __init__(self, tokens, inputs):
+            seen.update(x.tobytes() for x in inputs)
+            super().__init__(tokens, inputs)
 
-    monkeypatch.setattr(lm_scores, "gradients", record)
-    lm_scores.train(Rows(), of, np.arange(lm_scores.CLASSES))
-    assert seen == collections.Counter(x.tobytes() for x in lm_scores.windows(*lm_scores._flat(batch))[0])
+    monkeypatch.setattr(lm_scores, "Spelling", Seen)
+    monkeypatch.setattr(lm_scores.F, "pmod", lambda *a: None)
+    monkeypatch.setattr(lm_scores.F, "spark_partition_id", lambda: None)
+    monkeypatch.setattr(lm_scores.F, "lit", lambda x: None)
+    w = lm_scores.train(Rows(), of, np.arange(lm_scores.CLASSES))
+    assert seen == collections.Counter(x.tobytes() for x in lm_scores._tokens(batch).windows()[0])
+    start = lm_scores.fresh(np.arange(lm_scores.CLASSES))
+    moved = np.flatnonzero((w[0] != start[0]).any(axis=1))
+    assert set(moved.tolist()) <= {*symbols.tolist(), lm_scores.START, lm_scores.PAD} and len(moved) > 5000
 
 
 def test_op5_fingerprints(spark):
@@ -248,6 +380,14 @@ def test_op5_texts_without_space():
     assert like(one, near) > 0.7 and like(one, one[:24] + other) < 0.2
 
 
+def test_op5_least_distinct():
+    rng = np.random.default_rng(2)
+    for high in (5, 200, 1 << 40):
+        for n in (0, 3, 40, 513, 5000):
+            x = rng.integers(0, high, n).astype(np.uint64)
+            assert (fingerprints.least_distinct(x, 32) == np.unique(x)[:32]).all()
+
+
 def test_op5_spans_and_extensions():
     a, b = fingerprints.Prefixes("abcabcabx"), fingerprints.Prefixes("zabcabcaby")
     assert a.span(0, 3) == a.span(3, 6) == b.span(1, 4) != a.span(1, 4)
@@ -314,6 +454,21 @@ def test_op8_forms(spark):
     assert got == {0: ("MIT", 1, "MIT"), 1: ("MIT", 0, ""), 2: (None, 0, ""), 3: (None, 1, "Apache-2.0"), 4: (None, 2, "CC-BY-NC-4.0,MIT"), 5: (None, 0, ""), 6: (None, 0, "")}
 
 
+def test_op8_whole_licences(spark):
+    folder = pathlib.Path("/usr/share/common-licenses")
+    expected = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "BSD": "BSD-3-Clause"}
+    there = [n for n in expected if (folder / n).exists()]
+    if not there:
+        pytest.skip("no licence texts on this machine")
+    mit = next(t for n, t in licenses.KNOWN if n == "MIT" and len(t) > 500)
+    rows = [(k, (folder / n).read_text()) for k, n in enumerate(there)]
+    rows += [(100 + k, "Copyright (C) 2021 A. Nother\n\n" + t.upper().replace(" ", "\t ")) for k, t in rows] + [(200 + k, t + " and more") for k, t in rows]
+    rows += [(300, "The MIT License (MIT)\n\nCopyright (c) 2020 X\n\n" + mit), (301, "MIT Licence\n" + mit)]
+    got = {r["doc_id"]: r["license"] for r in licenses.scan(frame(spark, rows)).collect()}
+    assert got == {k: expected[n] for k, n in enumerate(there)} | {100 + k: expected[n] for k, n in enumerate(there)} | {200 + k: None for k in range(len(there))} | {300: "MIT", 301: "MIT"}
+    assert "BroadcastHashJoin" in licenses.scan(frame(spark, rows))._jdf.queryExecution().toString()
+
+
 def test_op9_removes_passages(spark):
     rng = random.Random(10)
     text = lambda n: ". ".join(sentence(rng, rng.randint(4, 20), 3000).capitalize() for _ in range(n)) + "."
@@ -339,6 +494,64 @@ def test_op9_removes_passages(spark):
     assert all(got[k]["text"] == docs[k] for k in docs if not got[k]["n_removed"])
 
 
+def test_op9_pairs_of_any_length(spark):
+    """All pairs of lines from 5 to 60 words with ends or inner words changed, appended or dropped, against plain Jaccard."""
+    rng = random.Random(21)
+    sets = lambda ws: {tuple(ws[j : j + 5]) for j in range(len(ws) - 4)}
+    filler = lambda: sentence(rng, 40, 90_000)
+    docs, pairs, k = {}, [], 0
+    for n in range(5, 61):
+        for change in ("last", "first", "append", "prepend", "drop", "inner"):
+            one = sentence(rng, n, 90_000).split(" ")
+            other = list(one)
+            if change in ("append", "prepend"):
+                other.insert(len(other) if change == "append" else 0, "more")
+            elif change == "drop":
+                other.pop()
+            else:
+                other[{"last": -1, "first": 0, "inner": len(one) // 2}[change]] = "changed"
+            docs[k], docs[k + 1] = (filler() + "\n" + " ".join(x) + "\n" + filler() for x in (one, other))
+            a, b = sets(one), sets(other)
+            if a and b and 5 * len(a & b) >= 4 * len(a | b):
+                pairs.append((k, len(other)))
+            k += 2
+    assert {n for _, n in pairs} >= {9, 14, 15, 25} and len(pairs) > 200
+    got = {r["doc_id"]: r["words_removed"] for r in substring_dedup.deduplicate(frame(spark, list(docs.items())), run=1).collect()}
+    found = sum(got[k + 1] == n for k, n in pairs)
+    assert found >= 0.99 * len(pairs) and not any(got[k] for k in range(0, len(docs), 2))
+    small = [(k, n) for k, n in pairs if n <= 14]
+    assert len(small) > 15 and all(got[k + 1] == n for k, n in small)
+    whole = {k for k in range(1, len(docs), 2) if len(words(docs[k].split("\n")[1])) <= substring_dedup.WHOLE}  # longer ones have equal pieces
+    others = whole - {k + 1 for k, _ in pairs}
+    assert len(others) > 50 and not any(got[k] for k in others)
+
+
+def test_op9_sketches_miss_no_small_pair():
+    from fractions import Fraction
+
+    rng = random.Random(4)
+    share, tuned, met = Fraction(4, 5), substring_dedup.tuned(), 0
+    for turn in range(9000):
+        one = [rng.choice("abcdefghijklmnopqrstuvwxyz"[: rng.choice([2, 3, 8, 26])]) + str(rng.choice([0, 0, turn])) for _ in range(rng.randint(5, 18))]
+        other = list(one)
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            at = rng.choice([0, len(other) - 1, rng.randrange(len(other))])
+            other[at : at + rng.choice([0, 1, 1, 2])] = rng.choice([[], ["x"], [rng.choice(one)], ["x", "y"]])
+        if rng.random() < 0.2:
+            cut = rng.randrange(len(other) + 1)
+            other = other[cut:] + other[:cut]
+        a, b = ({tuple(x[j : j + 5]) for j in range(len(x) - 4)} for x in (one, other))
+        if one == other or not b or 5 * len(a & b) < 4 * len(a | b) or min(len(a), len(b)) > substring_dedup.SMALL:
+            continue  # the same words are one class
+        p = substring_dedup.Paragraphs(*utf8(pa.array([" ".join(one), " ".join(other)])))
+        which = p.taking_part
+        bounds, found = p.shingles(which)
+        own, hashes = substring_dedup.sketches(p, which, bounds, found, share, *tuned)
+        assert set(hashes[own == 0]) & set(hashes[own == 1]), (one, other)
+        met += 1
+    assert met > 500
+
+
 def test_op9_removes_passages_inside_sentences(spark):
     rng = random.Random(12)
     docs = {k: sentence(rng, 40, 5000) + ". " + sentence(rng, 25, 5000) + "." for k in range(12)}
@@ -463,9 +676,18 @@ def test_pipeline_decisions_take_effect(spark, tmp_path):
     good = {r["doc_id"] for r in quality_classifier.classify(docs, spark.read.parquet(f"{data}/labels.parquet")).where("predicted = 1").collect()}
     one = pipeline.quality(spark, docs, data)
     assert {r["doc_id"] for r in one.collect()} == good
-    firsts = {r["component_id"] for r in jaccard_join.jaccard_components(one).collect()}
+    sets = {}
+    for r in one.collect():
+        ws = words(re.sub("[A-Z]", lambda m: m[0].lower(), r["text"] or ""))
+        sets[r["doc_id"]] = {tuple(ws[j : j + 5]) for j in range(len(ws) - 4)} or ({tuple(ws)} if ws else set())
+    of = {k: k for k in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and of[a] != of[b]:
+                low, high = sorted((of[a], of[b]))
+                of = {k: low if v == high else v for k, v in of.items()}
     two = pipeline.distinct(spark, one, data)
-    assert sorted(r["doc_id"] for r in two.collect()) == sorted(firsts)
+    assert sorted(r["doc_id"] for r in two.collect()) == sorted(set(of.values()))
     left = {r["doc_id"]: r["text"] for r in substring_dedup.deduplicate(two, keep_text=True).collect()}
     three = pipeline.passages(spark, two, data)
     assert {r["doc_id"]: r["text"] for r in three.collect()} == {k: t for k, t in left.items() if words(t)}
