@@ -700,3 +700,17 @@ def test_pipeline_decisions_take_effect(spark, tmp_path):
     assert dict(size) == {k: n for k, n in taken.items() if n}
     rows = pipeline.run(spark, data).collect()
     assert len(rows) == len(four) and all(r["n_tokens"] == len(r["token_ids"]) for r in rows)
+
+
+def test_word_hashes_are_those_of_lower_case_words(monkeypatch):
+    from quire.llm import common
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("aB. \n\té") for _ in range(rng.choice([0, 1, 40, 900]))) for _ in range(60)] + ["Z" * 5000, "", " "]
+    data, at = utf8(pa.array(texts))
+    starts, ends, doc = spans_of_words(data, at)
+    want = common.hashed(common.word_array(common.lower_ascii(data), starts, ends))
+    assert (doc == np.searchsorted(at, starts, "right") - 1).all()
+    for piece in (1, 64, 1 << 17):
+        monkeypatch.setattr(common, "PIECE", piece)
+        assert (common.word_hashes(data, starts, ends) == want).all()
