@@ -263,13 +263,18 @@ class Spelling:
 
     def embedded(self, e: np.ndarray) -> np.ndarray:
         """The mean embedding of each token's ids."""
-        mean = np.add.reduceat(e[self.ids], self.begins, axis=0) / self.lengths[:, None].astype(e.dtype)
+        mean = e[self.ids[self.begins]]
+        some = np.flatnonzero(self.lengths > 1)
+        if len(some):
+            edges = np.concatenate(([0], np.cumsum(self.lengths[some])))
+            own = gather(self.ids, np.append(self.begins, len(self.ids)), some)
+            mean[some] = np.add.reduceat(e[own], edges[:-1], axis=0) / self.lengths[some, None].astype(e.dtype)
         return mean.reshape(*self.pad.shape, e.shape[1])
 
     def back(self, dx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, gradients) of the embeddings that these tokens have."""
         each = np.repeat(dx.reshape(-1, dx.shape[-1]) / self.lengths[:, None].astype(dx.dtype), self.lengths, axis=0)
-        order = np.argsort(self.ids, kind="stable")
+        order = np.argsort(self.ids.astype(np.uint16), kind="stable")  # ids are below 2^16, which sort by radix
         found = self.ids[order]
         first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
         return found[first], np.add.reduceat(each[order], first, axis=0)
@@ -289,15 +294,17 @@ def forward(w: list[np.ndarray], inputs: Spelling | Read) -> tuple:
     """The attention of each query to the inputs up to its own; padding is masked."""
     e, q, k, v, distance, _, _ = w
     x = inputs.embedded(e)
-    queries = x[:, HALF:] @ q
-    scores = queries @ (x @ k).transpose(0, 2, 1) * np.float32(WIDTH**-0.5)
-    scores += distance[np.clip(_DISTANCE, 0, 2 * HALF - 1)]
-    scores[:, _DISTANCE < 0] = -1e9
-    scores += np.where(inputs.pad, np.float32(-1e9), np.float32(0))[:, None, :]
+    flat = x.reshape(-1, WIDTH)  # products of all rows at once, not window by window
+    queries = (np.ascontiguousarray(x[:, HALF:]).reshape(-1, WIDTH) @ q).reshape(-1, HALF, WIDTH)
+    scores = queries @ (flat @ k).reshape(x.shape).transpose(0, 2, 1)
+    scores *= np.float32(WIDTH**-0.5)
+    scores += np.where(_DISTANCE < 0, np.float32(-1e9), distance[np.clip(_DISTANCE, 0, 2 * HALF - 1)])
+    padded = np.flatnonzero(inputs.pad.any(axis=1))
+    scores[padded] += np.where(inputs.pad[padded], np.float32(-1e9), np.float32(0))[:, None, :]
     scores -= scores.max(axis=2, keepdims=True)
     np.exp(scores, out=scores)
     scores /= scores.sum(axis=2, keepdims=True)
-    values = x @ v
+    values = (flat @ v).reshape(x.shape)
     return x, queries, scores, values, x[:, HALF:] + scores @ values
 
 
@@ -305,10 +312,9 @@ def log_probs(w: list[np.ndarray], inputs: Spelling | Read, classes: np.ndarray)
     """The natural log probability of each target's class; 0 where there is no target (-1)."""
     h = forward(w, inputs)[4].reshape(-1, WIDTH)
     logits = h @ w[5] + w[6]
-    top = logits.max(axis=1)
-    logits -= top[:, None]
+    logits -= logits.max(axis=1, keepdims=True)
     own = logits[np.arange(len(h)), np.maximum(classes.ravel(), 0)]
-    return np.where(classes.ravel() < 0, 0, own - np.log(np.exp(logits).sum(axis=1))).reshape(classes.shape)
+    return np.where(classes.ravel() < 0, 0, own - np.log(np.exp(logits, out=logits).sum(axis=1))).reshape(classes.shape)
 
 
 def gradients(w: list[np.ndarray], inputs: Spelling, classes: np.ndarray) -> list:
@@ -317,22 +323,21 @@ def gradients(w: list[np.ndarray], inputs: Spelling, classes: np.ndarray) -> lis
     flat, real = h.reshape(-1, WIDTH), classes.ravel() >= 0
     logits = flat @ w[5] + w[6]
     logits -= logits.max(axis=1, keepdims=True)
-    g = np.exp(logits)
-    g /= g.sum(axis=1, keepdims=True)
-    g[np.arange(len(g)), np.maximum(classes.ravel(), 0)] -= 1
-    g[~real] = 0
-    g /= np.float32(max(1, int(real.sum())))
+    g = np.exp(logits, out=logits)
+    share = real.astype(np.float32) / np.float32(max(1, int(real.sum())))
+    g *= (share / g.sum(axis=1))[:, None]
+    g[np.arange(len(g)), np.maximum(classes.ravel(), 0)] -= share
     d_out, d_bias = flat.T @ g, g.sum(axis=0)
     dh = (g @ w[5].T).reshape(h.shape)
     d_att, d_val = dh @ values.transpose(0, 2, 1), attention.transpose(0, 2, 1) @ dh
     ds = attention * (d_att - (d_att * attention).sum(axis=2, keepdims=True))
     d_distance = np.bincount(np.clip(_DISTANCE, 0, 2 * HALF - 1).ravel(), weights=ds.sum(axis=0).ravel(), minlength=2 * HALF).astype(np.float32)
     ds *= np.float32(WIDTH**-0.5)
-    keys = x @ w[2]
-    dq, dk = ds @ keys, ds.transpose(0, 2, 1) @ queries
     two = lambda y: y.reshape(-1, WIDTH)
-    dx = dk @ w[2].T + d_val @ w[3].T
-    dx[:, HALF:] += dq @ w[1].T + dh
+    keys = (two(x) @ w[2]).reshape(x.shape)
+    dq, dk = ds @ keys, ds.transpose(0, 2, 1) @ queries
+    dx = (two(dk) @ w[2].T + two(d_val) @ w[3].T).reshape(x.shape)
+    dx[:, HALF:] += (two(dq) @ w[1].T).reshape(dh.shape) + dh
     return [inputs.back(dx), two(x[:, HALF:]).T @ two(dq), two(x).T @ two(dk), two(x).T @ two(d_val), d_distance, d_out, d_bias]
 
 
@@ -352,7 +357,12 @@ class Adam:
         s += np.float32(0.01) * (rows * rows - s)
         t = self.times[ids][:, None]
         self.m[0][ids], self.s[0][ids] = m, s
-        self.w[0][ids] -= (np.float32(rate) * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-6)).astype(m.dtype)
+        m *= (rate / (1 - 0.9**t)).astype(m.dtype)
+        s *= (1 / (1 - 0.99**t)).astype(s.dtype)
+        np.sqrt(s, out=s)
+        s += np.float32(1e-6)
+        m /= s
+        self.w[0][ids] -= m
         for x, m, s, g in zip(self.w[1:], self.m[1:], self.s[1:], grads[1:], strict=True):
             m += np.float32(0.1) * (g - m)
             s += np.float32(0.01) * (g * g - s)
