@@ -17,3 +17,17 @@ def test_map_of_keys_grows_with_them(spark):
     others = np.random.default_rng(3).integers(0, 1 << 63, 1_000_000, np.uint64) * np.uint64(2)
     assert len(some) > 1000 and substring_dedup.probed(bits, some).all()
     assert substring_dedup.probed(bits, others).mean() < 0.03
+
+
+def test_windows_of_a_repeat_stay_together(spark, monkeypatch):
+    rng = random.Random(4)
+    passage = sentence(rng, 600, 9000)
+    docs = [(k, sentence(rng, 80, 9000) + " " + passage + " " + sentence(rng, 80, 9000)) for k in range(3)] + [(3, " ".join(["one", "two", "three"] * 60))]
+    rows = substring_dedup._numbered(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text")
+    exact = {r["id"]: [m for m in r["marks"] if m["key"] is None] for r in substring_dedup.marked(rows, 0.8).collect()}
+    assert sum(m["more"] + 1 for m in exact[1]) == 600 - substring_dedup.PASSAGE + 1
+    assert len(exact[1]) < 150 and len(exact[3]) < 50  # a row for each window made 551 and 128
+    kept = [sorted(r["kept_sha256"] for r in substring_dedup.deduplicate(rows, id="id").collect())]
+    monkeypatch.setattr(substring_dedup, "COMMON", 0)  # every anchor is a common one then, and windows are counted one by one
+    kept.append(sorted(r["kept_sha256"] for r in substring_dedup.deduplicate(rows, id="id").collect()))
+    assert kept[0] == kept[1]
