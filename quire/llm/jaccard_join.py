@@ -18,12 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from quire.llm.common import batch_of, hashed, lower_ascii, mixed, settle, small_batches, steps, unused, utf8, word_array, words
+from quire.llm.bpe import packed, unpacked
+from quire.llm.common import batch_of, discard, hashed, lower_ascii, mixed, settle, small_batches, steps, unused, utf8, word_array, words
 from quire.llm.links import all_links, grouped, linked
 from quire.llm.stats import windows
 
-#: Buckets of the corpus count, and rows that carry one task's counts.
-BUCKETS, SLICES = 1 << 20, 64
+#: Buckets of the corpus count, and rows that carry one task's counts. With too few of them, what else falls into a bucket
+#: hides that an n-gram is frequent; its group is then large, and groups are what pairs and crowds grow with.
+BUCKETS, SLICES = 1 << 24, 1024
 
 
 def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,6 +61,13 @@ def set_keys(bounds: np.ndarray, found: np.ndarray) -> np.ndarray:
     return mixed(sums[bounds[1:]] - sums[bounds[:-1]] + np.diff(bounds).astype(np.uint64)).view(np.int64)
 
 
+def levels(counts: np.ndarray) -> np.ndarray:
+    """Counts in 256 steps, in their order: a quarter of a root up to 1600, as chance moves a count by half a root's unit
+    whatever its size, and an eighth of a doubling from there on."""
+    few = 4 * np.sqrt(counts)
+    return np.minimum(np.where(counts < 1600, few, 160 + 8 * np.log2(np.maximum(counts, 1) / 1600)), 255).astype(np.uint8)
+
+
 class Join:
     """The classes of docs and their links at a threshold; see the module for the method.
 
@@ -72,35 +81,41 @@ class Join:
         small_batches(self.spark)
         self.docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null")
         first = settle(self._first())
-        self.rows = first.where("part is null").select("id", "key", "n")
+        self.rows = settle(first.where("part is null").select("id", "key", "n"))
         self.classes = settle(self.rows.where("n > 0").groupBy("key", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
         self.heaviness = self._heaviness(first)
+        discard(first)
         self.shared = settle(self._shared())
 
     def _first(self) -> DataFrame:
         width, fields = self.width, "id long, key long, n int, slice int, part binary"
 
         def measure(batches):
-            total = np.zeros(BUCKETS, np.int32)
+            total = np.zeros(BUCKETS, np.uint16)
             for batch in steps(batches):
                 bounds, found = shingles(batch.column("text"), width)
-                total += np.bincount((found & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS).astype(np.int32)
+                np.add.at(total, (found & np.uint64(BUCKETS - 1)).astype(np.int64), np.uint16(1))
+                np.minimum(total, 1 << 15, out=total)  # a step adds less than the rest
                 none = pa.nulls(batch.num_rows)
                 yield batch_of(fields, id=batch.column("id"), key=set_keys(bounds, found), n=np.diff(bounds), slice=none, part=none)
-            if total.any():
-                none = pa.nulls(SLICES)
-                yield batch_of(fields, id=none, key=none, n=none, slice=range(SLICES), part=[x.tobytes() for x in np.split(total, SLICES)])
+            parts = {k: packed(memoryview(x)) for k, x in enumerate(np.split(total, SLICES)) if x.any()}
+            if parts:
+                none = pa.nulls(len(parts))
+                yield batch_of(fields, id=none, key=none, n=none, slice=list(parts), part=list(parts.values()))
 
         return self.docs.mapInArrow(measure, fields)
 
     def _heaviness(self, first: DataFrame) -> np.ndarray:
         def add(rows: pa.Table) -> pa.Table:
-            part = np.sum([np.frombuffer(p, np.int32) for p in rows.column("part").to_pylist()], axis=0, dtype=np.int64)
-            return pa.Table.from_batches([batch_of("slice int, part binary", slice=[rows.column("slice")[0].as_py()], part=[np.minimum(part, 2**31 - 1).astype(np.int32).tobytes()])])
-
-        parts = first.where("part is not null").select("slice", "part").groupBy("slice").applyInArrow(add, "slice int, part binary").collect()
-        parts.sort(key=lambda r: r["slice"])
-        return np.concatenate([np.frombuffer(bytes(r["part"]), np.int32) for r in parts]) if parts else np.zeros(BUCKETS, np.int32)
+            part = np.zeros(BUCKETS // SLICES, np.int64)
+            for p in rows.column("part").to_pylist():
+                part += np.frombuffer(unpacked(p), np.uint16)
+            return pa.Table.from_batches([batch_of("slice int, part binary", slice=[rows.column("slice")[0].as_py()], part=[levels(part).tobytes()])])
+
+        out = np.zeros((SLICES, BUCKETS // SLICES), np.uint8)
+        for r in first.where("part is not null").select("slice", "part").groupBy("slice").applyInArrow(add, "slice int, part binary").collect():
+            out[r["slice"]] = np.frombuffer(bytes(r["part"]), np.uint8)
+        return out.ravel()
 
     def _shared(self) -> DataFrame:
         """(h, id, n, g): classes at each n-gram that stands in the prefixes of two classes or more; id is the class's least."""

@@ -9,7 +9,8 @@ Groups of up to LIMIT sets give all their pairs. Sets that meet in larger ones a
 size into blocks, and each two blocks whose sizes allow a link are compared in one task, fragment after fragment, in a
 matrix of overlaps. Such a task gives each set one link to its component in the two blocks and the number of its links, so
 a large group of near copies makes rows in proportion to its members and not to their pairs, and both stay exact. The
-number of block pairs still grows with the square of a crowd's blocks, as exact numbers of links need every pair.
+number of block pairs still grows with the square of a crowd's blocks, as exact numbers of links need every pair; a block
+goes to each of its pairs, so pairs are compared in waves that hold no more than all blocks once, or WAVE elements.
 
 No step gathers a group in one task: what is counted or ranked in a group is counted in parts of it first (graph.totals).
 """
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from quire.llm.common import batch_of, discard, partitions, settle
+from quire.llm.common import batch_of, discard, partitions, settle, tidy
 from quire.llm.graph import components, in_parts, totals
 
 #: Members of a group that gives all its pairs; elements that a fragment of a bucket holds, about, and pairs round one set
-#: that are one bucket's; sets of a crowd's block, and elements that its matrices have at once.
-LIMIT, FRAGMENT, PAIRS, BLOCK, COLUMNS = 48, 500_000, 100_000, 512, 4096
+#: that are one bucket's; sets of a crowd's block, and elements that its matrices have at once; elements that are sent to pairs of
+#: blocks at once, where the crowds have no more themselves.
+LIMIT, FRAGMENT, PAIRS, BLOCK, COLUMNS, WAVE = 48, 500_000, 100_000, 512, 4096, 32_000_000
 #: Buckets in which groups are counted to find large ones, and rows that a bucket holds more than four shares, at least.
 BUCKETS, HOT = 1 << 16, 1000
 
@@ -227,12 +230,12 @@ def crowds(large: DataFrame, sets: DataFrame, share: Fraction, weights: DataFram
     least = totals(large, ["h"], {"low": F.min("id")}, {"low": F.min("low")})
     members = settle(components(large.join(least, ["h", "part"]).select(F.col("low").alias("a"), F.col("id").alias("b"))))
     blocked = settle(_blocks(large, members).join(sets, "id").dropDuplicates(["label", "id"]).join(weights, "id"))
-    spans = blocked.groupBy("label", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    later = spans.select(F.col("label").alias("label_"), F.col("block").alias("j"), F.col("low").alias("low_"), F.col("high").alias("high_"))
+    spans = blocked.groupBy("label", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.sum("n").alias("all"))
+    later = spans.select(F.col("label").alias("label_"), F.col("block").alias("j"), F.col("low").alias("low_"), F.col("high").alias("high_"), F.col("all").alias("all_"))
     met = spans.join(later, (F.col("label") == F.col("label_")) & (F.col("block") <= F.col("j")) & (F.col("high") * q >= F.col("low_") * p) & (F.col("high_") * q >= F.col("low") * p))
-    met = settle(met.select("label", F.col("block").alias("i"), "j"))
-    sides = met.select("label", "i", "j", F.col("i").alias("block")).union(met.select("label", "i", "j", F.col("j").alias("block"))).distinct()
-    dealt = blocked.join(sides, ["label", "block"])
+    met = settle(met.select("label", F.col("block").alias("i"), "j", (F.col("all") + F.col("all_")).alias("both")))
+    held, sent = blocked.agg(F.sum("n")).first()[0] or 0, met.agg(F.sum("both")).first()[0] or 0
+    waves = max(1, -(-sent // max(held, WAVE)))
 
     def compare(rows: pa.Table) -> pa.Table:
         i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
@@ -250,7 +253,16 @@ def crowds(large: DataFrame, sets: DataFrame, share: Fraction, weights: DataFram
             links += np.bincount(two[b], weights=weight[one[a]], minlength=len(ids))
         return pa.Table.from_batches([batch_of("a long, b long, links long", a=joined(ids, one[a], two[b]), b=ids, links=links.astype(np.int64))])
 
-    return members.withColumnRenamed("label", "crowd"), dealt.groupBy("label", "i", "j").applyInArrow(compare, "a long, b long, links long")
+    def wave(k: int) -> DataFrame:
+        some = met.where(F.pmod(F.xxhash64("label", "i", "j"), F.lit(waves)) == k)
+        sides = some.select("label", "i", "j", F.col("i").alias("block")).union(some.select("label", "i", "j", F.col("j").alias("block"))).distinct()
+        return settle(blocked.join(sides, ["label", "block"]).groupBy("label", "i", "j").applyInArrow(compare, "a long, b long, links long"))
+
+    compared = []
+    for k in range(waves):
+        compared.append(wave(k))
+        tidy(met.sparkSession)
+    return members.withColumnRenamed("label", "crowd"), reduce(DataFrame.union, compared)
 
 
 def linked(shared: DataFrame, sets: Callable[[DataFrame], DataFrame], share: Fraction, *, prefixes: bool, limit: int = LIMIT, weights: DataFrame | None = None) -> DataFrame:
@@ -268,7 +280,6 @@ def linked(shared: DataFrame, sets: Callable[[DataFrame], DataFrame], share: Fra
     links = settle(verified(pairs, found, share).select("a", "b"))
     if again:
         members, compared = crowds(large, found, share, weights)
-        compared = settle(compared)
         crowd = lambda c: members.select(F.col("id").alias(c), F.col("crowd").alias(f"crowd_{c}"))
         # Pairs inside one crowd are compared there; counted here too, they would count twice.
         links = links.join(crowd("a"), "a", "left").join(crowd("b"), "b", "left").where("crowd_a is null or crowd_b is null or crowd_a <> crowd_b").select("a", "b")

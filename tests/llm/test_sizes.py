@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from quire.llm import substring_dedup
+from quire.llm import jaccard_join, links, substring_dedup
 from tests.llm.conftest import sentence
 
 
@@ -31,3 +31,33 @@ def test_windows_of_a_repeat_stay_together(spark, monkeypatch):
     monkeypatch.setattr(substring_dedup, "COMMON", 0)  # every anchor is a common one then, and windows are counted one by one
     kept.append(sorted(r["kept_sha256"] for r in substring_dedup.deduplicate(rows, id="id").collect()))
     assert kept[0] == kept[1]
+
+
+def test_frequent_ngrams_are_told_apart():
+    """An n-gram in 48 of the documents of 6 GB (1.4 billion n-grams) stands behind the rarest tenth, whatever shares its bucket."""
+    others = np.random.default_rng(1).poisson(1.4e9 / jaccard_join.BUCKETS, 400_000)
+    rare = np.quantile(jaccard_join.levels(others), 0.1)
+    assert (jaccard_join.levels(others + 48) <= rare).mean() < 0.001
+    steps = jaccard_join.levels(np.arange(1_000_000)).astype(int)
+    assert (np.diff(steps) >= 0).all() and steps[0] == 0 and steps[1] > 0
+
+
+def test_crowds_are_compared_in_waves(spark, monkeypatch):
+    rng = random.Random(6)
+    base = sentence(rng, 60).split()
+    rows = []
+    for k in range(150):
+        text = list(base)
+        text[rng.randrange(60)] = f"x{k % 50}"
+        rows.append((k, " ".join(text[: 60 - k % 4])))
+    monkeypatch.setitem(links.linked.__kwdefaults__, "limit", 8)
+    monkeypatch.setattr(links, "BLOCK", 8)
+    found, sent = [], []
+    real = links.settle
+    monkeypatch.setattr(links, "settle", lambda df: (sent.append(1) if df.columns == ["a", "b", "links"] else None, real(df))[1])
+    for wave in (links.WAVE, 1):
+        monkeypatch.setattr(links, "WAVE", wave)
+        found.append(sorted(map(tuple, jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())))
+        sent.append(0)
+    assert found[0] == found[1] and sum(r[3] for r in found[0]) > 200
+    assert sent.index(0) == 1 and len(sent) > 5  # one wave, then several
